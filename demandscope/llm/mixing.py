@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, table
+from .common import WORD, materialize, release, table
 
 SEED = "mix"
 RANGES_HEX = 3  # 16**3 ranges of the shuffle hash
@@ -44,48 +44,84 @@ def targets(sizes: DataFrame, weights=(5, 2, 1), budget_percent: int = 150, max_
     return level.select("src", "rank", "source_size", target.alias("target"), budget.alias("budget"))
 
 
-def mix(docs: DataFrame, weights=(5, 2, 1), budget_percent: int = 150, max_epochs: int = 2) -> DataFrame:
-    """Returns doc_id, source, size, source_size, target, taken: one row for each row of ``docs`` (doc_id, text, source used).
+_KEYS = ("src", "key", "size", "text_key")
 
-    Null and empty texts have size 0 and taken 0; a null source is a source of its own, ranked last; a null id is hashed as such;
-    repeated rows are entries of their own, and rows that agree in id, source and size are interchangeable; an empty table gives an empty
-    table. Other columns are ignored.
-    """
-    key = F.md5(F.concat(F.lit(SEED + "|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    base = materialize(docs.select("doc_id", F.col("source").alias("src"), size.alias("size"), key.alias("key")), "mix-sizes")
-    base = base.withColumn("part", F.substring("key", 1, RANGES_HEX))
+
+def _keyed(docs: DataFrame) -> dict:
+    """The shuffle key and what tells rows of the same id apart."""
+    return {
+        "src": F.col("source"),
+        "key": F.md5(F.concat(F.lit(SEED + "|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary")),
+        "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
+        "text_key": F.xxhash64("text"),
+    }
+
+
+def _queued(docs: DataFrame, weights, budget_percent: int, max_epochs: int) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, the keys, source_size, target, times (passes in which the mix takes it)."""
+    sizes = materialize(docs.select("doc_id", *[v.alias(k) for k, v in _keyed(docs).items()]), "mix-sizes")
+    base = sizes.withColumn("part", F.substring("key", 1, RANGES_HEX))
     parts = base.groupBy("src", "part").agg(F.sum("size").alias("part_size"))
     goal = targets(parts.groupBy("src").agg(F.sum("part_size").alias("source_size")), weights, budget_percent, max_epochs)
     before = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("before", F.coalesce(F.sum("part_size").over(before), F.lit(0)))
-    g = goal.withColumnRenamed("src", "g_src")
-    parts = parts.join(g, F.col("src").eqNullSafe(F.col("g_src"))).drop("g_src", "part_size")
-    p = parts.withColumnsRenamed({"src": "p_src", "part": "p_part"})
-    inside = Window.partitionBy("src", "part").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, 0)
-    queued = base.withColumn("cum", F.sum("size").over(inside)).join(p, F.col("src").eqNullSafe(F.col("p_src")) & (F.col("part") == F.col("p_part")))
-    queued = materialize(queued.select("doc_id", "src", "size", "source_size", "target", "budget", "rank", "key", (F.col("cum") + F.col("before")).alias("cum")), "mix-queue")
+    parts = parts.join(goal.withColumnRenamed("src", "g_src"), F.col("src").eqNullSafe(F.col("g_src"))).drop("g_src", "part_size")
+    parts = parts.withColumnsRenamed({"src": "p_src", "part": "p_part"})
+    inside = Window.partitionBy("src", "part").orderBy("key", "size", "text_key").rowsBetween(Window.unboundedPreceding, 0)
+    queued = base.withColumn("cum", F.sum("size").over(inside)).join(parts, F.col("src").eqNullSafe(F.col("p_src")) & (F.col("part") == F.col("p_part")))
+    queued = materialize(queued.select("doc_id", *_KEYS, "source_size", "target", "budget", "rank", (F.col("cum") + F.col("before")).alias("cum")), "mix-queue")
+    release(sizes)
 
     # virtual finish times; an entry's order is (time, rank, key, epoch)
-    def time(epoch):
+    def place(epoch: int):
         words = (F.col("cum") + F.col("source_size") * epoch).cast("double")
-        return F.when(F.col("target") > 0, words / F.col("target")).otherwise(F.lit(0.0))
+        t = F.when(F.col("target") > 0, words / F.col("target")).otherwise(F.lit(0.0))
+        return F.struct(t.alias("t"), F.col("rank"), F.col("key"), F.lit(epoch).alias("epoch"))
 
-    entries = queued.select("size", "budget", F.explode(F.array(*[F.struct(time(F.lit(e)).alias("t"), F.col("rank"), F.col("key"), F.lit(e).alias("epoch")) for e in range(max_epochs)])).alias("at"))
+    entries = queued.select("size", "budget", F.explode(F.array(*[place(e) for e in range(max_epochs)])).alias("at"))
     t = F.col("at.t")
+    # ranges of equal width up to time 2, of equal ratio beyond
     entries = entries.withColumn("range", F.when(t < 2, F.floor(t * TIME_RANGES)).otherwise(2 * TIME_RANGES + F.floor(F.log2(F.greatest(t, F.lit(2.0))) * 256)).cast("long"))
     ranges = entries.groupBy("range").agg(F.sum("size").alias("words"), F.max("budget").alias("budget"), F.max("at").alias("last"))
-    upto = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
-    ranges = ranges.withColumn("upto", F.sum("words").over(upto))
-    whole = ranges.where(F.col("upto") <= F.col("budget")).agg(F.max("last").alias("whole"), F.coalesce(F.max("upto"), F.lit(0)).alias("spent"))
-    cut = ranges.where(F.col("upto") > F.col("budget")).agg(F.min("range").alias("cut"))
+    ranges = ranges.withColumn("upto", F.sum("words").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)))
+    whole = ranges.where("upto <= budget").agg(F.max("last").alias("whole"), F.coalesce(F.max("upto"), F.lit(0)).alias("spent"))
+    cut = ranges.where("upto > budget").agg(F.min("range").alias("cut"))
     one = F.broadcast(whole.crossJoin(cut))  # a single row
     in_cut = entries.crossJoin(one).where(F.col("range") == F.col("cut"))
     running = F.col("spent") + F.sum("size").over(Window.orderBy("at").rangeBetween(Window.unboundedPreceding, 0))
-    last = in_cut.withColumn("running", running).where(F.col("running") <= F.col("budget")).agg(F.max("at").alias("inside"))
+    last = in_cut.withColumn("running", running).where("running <= budget").agg(F.max("at").alias("inside"))
     end = F.broadcast(whole.crossJoin(last).select(F.coalesce("inside", "whole").alias("end")))  # a single row
-    n = sum(F.coalesce(F.struct(time(F.lit(e)).alias("t"), F.col("rank"), F.col("key"), F.lit(e).alias("epoch")) <= F.col("end"), F.lit(False)).cast("long") for e in range(max_epochs))
-    return queued.crossJoin(end).select("doc_id", F.col("src").alias("source"), "size", "source_size", "target", (F.col("size") * n).alias("taken"))
+    times = sum(F.coalesce(place(e) <= F.col("end"), F.lit(False)).cast("int") for e in range(max_epochs))
+    return queued.crossJoin(end).select("doc_id", *_KEYS, "source_size", "target", times.alias("times"))
+
+
+def mix(docs: DataFrame, weights=(5, 2, 1), budget_percent: int = 150, max_epochs: int = 2) -> DataFrame:
+    """Returns doc_id, source, size, source_size, target, taken: one row for each row of ``docs`` (doc_id, text, source used).
+
+    Null and empty texts have size 0 and taken 0; a null source is a source of its own, ranked last; a null id is hashed as such;
+    repeated rows are entries of their own, and rows that agree in id, source and text are interchangeable; an empty table gives an empty
+    table. Other columns are ignored.
+    """
+    out = _queued(docs, weights, budget_percent, max_epochs)
+    return out.select("doc_id", F.col("src").alias("source"), "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+
+
+def take(docs: DataFrame, weights=(5, 2, 1), budget_percent: int = 150, max_epochs: int = 2) -> DataFrame:
+    """The mix itself: every row of ``docs``, with all its columns, as often as ``mix`` takes it.
+
+    Rows without words cost nothing and are taken with the entries before them.
+    """
+    alias = {k: f"__mix_{k}" for k in _KEYS}
+    queue = _queued(docs, weights, budget_percent, max_epochs)
+    # rows that agree in all keys share a list of their times; usually it has one
+    queue = queue.groupBy(F.coalesce("src", F.lit("")).alias(alias["src"]), F.col("src").isNull().alias("__mix_none"), *[F.col(k).alias(v) for k, v in alias.items() if k != "src"]).agg(F.sort_array(F.collect_list("times")).alias("__mix_times"))
+    keys = _keyed(docs)
+    marked = docs.withColumns({alias["src"]: F.coalesce(keys["src"], F.lit("")), "__mix_none": keys["src"].isNull(), **{v: keys[k] for k, v in alias.items() if k != "src"}})
+    on = [alias["src"], "__mix_none", *(v for k, v in alias.items() if k != "src")]
+    nth = F.row_number().over(Window.partitionBy(*on).orderBy(alias["key"]))
+    taken = marked.withColumn("__mix_nth", nth).join(queue, on).withColumn("__mix_n", F.element_at("__mix_times", F.col("__mix_nth")))
+    out = taken.where("__mix_n > 0").withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_n"))))
+    return out.select(*docs.columns)
 
 
 def op8_mix_sources(spark, sf_dir):

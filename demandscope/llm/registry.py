@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import mixing, quality_rules, simhash_dedup
+from . import decontaminate, mixing, quality_classifier, quality_rules, simhash_dedup, token_ids
 
 
 def queries() -> dict:
     return {
         "op1_quality_rules": quality_rules.op1_quality_rules,
+        "op3_token_ids": token_ids.op3_token_ids,
         "op7_simhash_dedup": simhash_dedup.op7_simhash_dedup,
         "op8_mix_sources": mixing.op8_mix_sources,
+        "op9_quality_classifier": quality_classifier.op9_quality_classifier,
+        "op10_decontaminate": decontaminate.op10_decontaminate,
     }
 
 
