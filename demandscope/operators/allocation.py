@@ -60,9 +60,9 @@ def water_level(rows: DataFrame, budget: float, b: float) -> DataFrame:
     start = under.select(F.coalesce("last", F.lit(-(10**9)).cast("long")).alias("last"), F.coalesce("s0", F.lit(0.0)).alias("s0"), F.coalesce("i0", F.lit(0.0)).alias("i0"))
     cut = ranges.crossJoin(F.broadcast(start)).where(F.col("range") > F.col("last")).groupBy("s0", "i0").agg(F.min("range").alias("cut"))
     inside = events.join(F.broadcast(cut), F.col("range") == F.col("cut"))  # a single row
-    order = Window.orderBy("mu", F.col("slope").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.orderBy("mu").rangeBetween(Window.unboundedPreceding, 0)  # equal breakpoints are one
     inside = inside.withColumns({"s": F.col("s0") + F.sum("slope").over(order), "i": F.col("i0") + F.sum("shift").over(order)})
-    inside = inside.where(F.col("s") * F.col("mu") + F.col("i") <= budget).agg(F.max_by(F.struct("s", "i"), F.struct("mu", -F.col("slope"))).alias("in"))
+    inside = inside.where(F.col("s") * F.col("mu") + F.col("i") <= budget).agg(F.max_by(F.struct("s", "i"), "mu").alias("in"))
     at = start.crossJoin(inside).select(F.coalesce("in.s", "s0").alias("s"), F.coalesce("in.i", "i0").alias("i"))  # a row each
     fits = rows.agg((F.coalesce(F.sum("U"), F.lit(0.0)) <= budget).alias("fits"))
     return at.crossJoin(fits).select(F.when(~F.col("fits"), ratio(F.lit(budget) - F.col("i"), F.col("s"))).alias("mu"))

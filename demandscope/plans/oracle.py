@@ -122,8 +122,8 @@ PARTS = {
     "prob0": "SELECT Outlet_ID, Y_historical, Price_Per_Liter, coalesce(Maximum_Monthly_Liters, Y_historical) AS Y_frontier FROM base JOIN price USING (Outlet_ID) LEFT JOIN pred USING (Outlet_ID)",
     "prob": "SELECT *, (exp(least(Headroom / a, 50.0)) - 1.0) / 0.0005::DOUBLE AS U FROM (SELECT *, greatest(Y_frontier - Y_historical, 0.0) AS Headroom, greatest(Y_historical, 1.0) AS a FROM prob0)",
     "ev": "SELECT 1.0 / (a * 0.0005::DOUBLE) AS mu, a AS slope, -2000.0::DOUBLE AS shift FROM prob WHERE U > 0 UNION ALL SELECT (U + 2000.0::DOUBLE) / a, -a, U + 2000.0::DOUBLE FROM prob WHERE U > 0",
-    "sweep": "SELECT mu, sum(slope) OVER o AS s, sum(shift) OVER o AS i FROM ev WINDOW o AS (ORDER BY mu, slope DESC ROWS UNBOUNDED PRECEDING)",
-    "level": f"SELECT CASE WHEN (SELECT sum(U) FROM prob) > {BUDGET} THEN ({BUDGET} - i) / s END AS mu FROM sweep WHERE s * mu + i <= {BUDGET} ORDER BY sweep.mu DESC, s LIMIT 1",
+    "sweep": "SELECT mu, sum(slope) OVER o AS s, sum(shift) OVER o AS i FROM ev WINDOW o AS (ORDER BY mu)",
+    "level": f"SELECT CASE WHEN (SELECT sum(U) FROM prob) > {BUDGET} THEN ({BUDGET} - i) / s END AS mu FROM sweep WHERE s * mu + i <= {BUDGET} ORDER BY sweep.mu DESC LIMIT 1",
     "alloc": f"SELECT *, {_half_even('a * ln(1.0 + 0.0005::DOUBLE * Trade_Spend_Allocation_LKR)', 2)} AS Volume_Lift_Liters FROM (SELECT p.*, {_half_even('CASE WHEN l.mu IS NULL THEN U ELSE least(greatest(a * l.mu - 2000.0, 0.0), U) END', 2)} AS Trade_Spend_Allocation_LKR FROM prob p, level l)",
     "firstd": "SELECT Outlet_ID, arg_min(Distributor_ID, (Year, Month, Distributor_ID)) AS Distributor_ID FROM wp GROUP BY Outlet_ID",
     "summ": "SELECT a.*, t.Outlet_Size, t.Outlet_Type, f.Distributor_ID FROM alloc a LEFT JOIN tidy t USING (Outlet_ID) LEFT JOIN firstd f USING (Outlet_ID)",
