@@ -3,11 +3,12 @@
 Each source gets a target of words: its weight's share of the budget, stopped at ``max_epochs`` times its size, the excess
 shared anew by weight until no target is above its stop (the exact water level, found with one sorted prefix sum). Its documents are
 shuffled by a hash of the id and queued, pass after pass; an entry's virtual finish time is the source's words up to its end
-divided by the target. All entries are put in order of that time and taken until the budget is spent.
+divided by the target. All sources are served at rates proportional to their targets, so the budget is spent at virtual time one:
+there the global order of finish times is truncated, and of each source the one document in service counts with the words served so far. Whole-document
+truncation alone would leave a source up to its largest document away from its target and give the rest to the others.
 
 Running sums never gather a source in one task: the hash is cut into ``2**12`` ranges, sums of ranges become offsets, and only the
-rest is summed inside a range. The cut of the global order is found the same way: sums of ranges of the finish time say which
-range holds the cut, and only that range is sorted.
+rest is summed inside a range.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from .common import WORD, materialize, release, table
 
 SEED = "mix"
 RANGES_HEX = 3  # 16**3 ranges of the shuffle hash
-TIME_RANGES = 4096  # of a unit of virtual time
 
 
 def targets(sizes: DataFrame, weights=(5, 2, 1), budget_percent: int = 150, max_epochs: int = 2) -> DataFrame:
@@ -39,7 +39,9 @@ def targets(sizes: DataFrame, weights=(5, 2, 1), budget_percent: int = 150, max_
     left = budget - F.coalesce(F.sum("cap").over(by_level), F.lit(0.0))
     weight_left = F.sum("w").over(all_of) - F.coalesce(F.sum("w").over(by_level), F.lit(0.0))
     level = level.withColumn("lam", left / weight_left)
-    level = level.withColumn("lam", F.min(F.when(F.col("lam") <= F.col("cap") / F.col("w"), F.col("lam"))).over(all_of))
+    # the first source, in order of its stop, that the level doesn't reach
+    stop = F.col("cap") / F.col("w")
+    level = level.withColumn("lam", F.min_by("lam", F.when(F.col("lam") <= stop, F.struct(stop, F.col("rank")))).over(all_of))
     target = F.when(F.col("lam").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("w") * F.col("lam")))
     return level.select("src", "rank", "source_size", target.alias("target"), budget.alias("budget"))
 
@@ -58,7 +60,7 @@ def _keyed(docs: DataFrame) -> dict:
 
 
 def _queued(docs: DataFrame, weights, budget_percent: int, max_epochs: int) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, the keys, source_size, target, times (passes in which the mix takes it)."""
+    """One row for each row of ``docs``: doc_id, the keys, source_size, target, rank, and cum, its source's words up to its end."""
     sizes = materialize(docs.select("doc_id", *[v.alias(k) for k, v in _keyed(docs).items()]), "mix-sizes")
     base = sizes.withColumn("part", F.substring("key", 1, RANGES_HEX))
     parts = base.groupBy("src", "part").agg(F.sum("size").alias("part_size"))
@@ -72,27 +74,17 @@ def _queued(docs: DataFrame, weights, budget_percent: int, max_epochs: int) -> D
     queued = materialize(queued.select("doc_id", *_KEYS, "source_size", "target", "budget", "rank", (F.col("cum") + F.col("before")).alias("cum")), "mix-queue")
     release(sizes)
 
-    # virtual finish times; an entry's order is (time, rank, key, epoch)
-    def place(epoch: int):
-        words = (F.col("cum") + F.col("source_size") * epoch).cast("double")
-        t = F.when(F.col("target") > 0, words / F.col("target")).otherwise(F.lit(0.0))
-        return F.struct(t.alias("t"), F.col("rank"), F.col("key"), F.lit(epoch).alias("epoch"))
-
-    entries = queued.select("size", "budget", F.explode(F.array(*[place(e) for e in range(max_epochs)])).alias("at"))
-    t = F.col("at.t")
-    # ranges of equal width up to time 2, of equal ratio beyond
-    entries = entries.withColumn("range", F.when(t < 2, F.floor(t * TIME_RANGES)).otherwise(2 * TIME_RANGES + F.floor(F.log2(F.greatest(t, F.lit(2.0))) * 256)).cast("long"))
-    ranges = entries.groupBy("range").agg(F.sum("size").alias("words"), F.max("budget").alias("budget"), F.max("at").alias("last"))
-    ranges = ranges.withColumn("upto", F.sum("words").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)))
-    whole = ranges.where("upto <= budget").agg(F.max("last").alias("whole"), F.coalesce(F.max("upto"), F.lit(0)).alias("spent"))
-    cut = ranges.where("upto > budget").agg(F.min("range").alias("cut"))
-    one = F.broadcast(whole.crossJoin(cut))  # a single row
-    in_cut = entries.crossJoin(one).where(F.col("range") == F.col("cut"))
-    running = F.col("spent") + F.sum("size").over(Window.orderBy("at").rangeBetween(Window.unboundedPreceding, 0))
-    last = in_cut.withColumn("running", running).where("running <= budget").agg(F.max("at").alias("inside"))
-    end = F.broadcast(whole.crossJoin(last).select(F.coalesce("inside", "whole").alias("end")))  # a single row
-    times = sum(F.coalesce(place(e) <= F.col("end"), F.lit(False)).cast("int") for e in range(max_epochs))
-    return queued.crossJoin(end).select("doc_id", *_KEYS, "source_size", "target", times.alias("times"))
+    return queued
+
+
+def _start(epoch: int):
+    """Words of the source before an entry."""
+    return F.col("cum") - F.col("size") + F.col("source_size") * epoch
+
+
+def _served(epoch: int):
+    """Words of an entry that are served before virtual time one."""
+    return F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.floor("target") - _start(epoch)))
 
 
 def mix(docs: DataFrame, weights=(5, 2, 1), budget_percent: int = 150, max_epochs: int = 2) -> DataFrame:
@@ -103,25 +95,30 @@ def mix(docs: DataFrame, weights=(5, 2, 1), budget_percent: int = 150, max_epoch
     table. Other columns are ignored.
     """
     out = _queued(docs, weights, budget_percent, max_epochs)
-    return out.select("doc_id", F.col("src").alias("source"), "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+    return out.select("doc_id", F.col("src").alias("source"), "size", "source_size", "target", sum(_served(e) for e in range(max_epochs)).alias("taken"))
 
 
 def take(docs: DataFrame, weights=(5, 2, 1), budget_percent: int = 150, max_epochs: int = 2) -> DataFrame:
-    """The mix itself: every row of ``docs``, with all its columns, as often as ``mix`` takes it.
+    """The mix itself: rows of ``docs`` with all their columns, range-sorted by virtual finish time over all partitions.
 
-    Rows without words cost nothing and are taken with the entries before them.
+    Documents stay whole: an entry is there if at least half of it is served. Rows without words cost nothing and come with their place in the
+    queue. Rows that agree in id, source and text share their entries.
     """
-    alias = {k: f"__mix_{k}" for k in _KEYS}
     queue = _queued(docs, weights, budget_percent, max_epochs)
-    # rows that agree in all keys share a list of their times; usually it has one
-    queue = queue.groupBy(F.coalesce("src", F.lit("")).alias(alias["src"]), F.col("src").isNull().alias("__mix_none"), *[F.col(k).alias(v) for k, v in alias.items() if k != "src"]).agg(F.sort_array(F.collect_list("times")).alias("__mix_times"))
+    entries = [F.struct((F.when(F.col("target") > 0, (F.col("cum") + F.col("source_size") * e) / F.col("target")).otherwise(0.0)).alias("time"), "rank", (_start(e) * 2 + F.col("size") <= 2 * F.floor("target")).alias("in")) for e in range(max_epochs)]
+    queue = queue.withColumn("__mix_at", F.filter(F.array(*entries), lambda x: x["in"]))
+    alias = {k: f"__mix_{k}" for k in _KEYS if k != "src"}
+    # rows that agree in all keys share a list of their entries; usually it has one row's
+    same = [F.coalesce("src", F.lit("")).alias("__mix_src"), F.col("src").isNull().alias("__mix_none"), *[F.col(k).alias(v) for k, v in alias.items()]]
+    queue = queue.groupBy(*same).agg(F.sort_array(F.collect_list("__mix_at")).alias("__mix_rows"))
     keys = _keyed(docs)
-    marked = docs.withColumns({alias["src"]: F.coalesce(keys["src"], F.lit("")), "__mix_none": keys["src"].isNull(), **{v: keys[k] for k, v in alias.items() if k != "src"}})
-    on = [alias["src"], "__mix_none", *(v for k, v in alias.items() if k != "src")]
+    marked = docs.withColumns({"__mix_src": F.coalesce(keys["src"], F.lit("")), "__mix_none": keys["src"].isNull(), **{v: keys[k] for k, v in alias.items()}})
+    on = ["__mix_src", "__mix_none", *alias.values()]
     nth = F.row_number().over(Window.partitionBy(*on).orderBy(alias["key"]))
-    taken = marked.withColumn("__mix_nth", nth).join(queue, on).withColumn("__mix_n", F.element_at("__mix_times", F.col("__mix_nth")))
-    out = taken.where("__mix_n > 0").withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_n"))))
-    return out.select(*docs.columns)
+    taken = marked.withColumn("__mix_nth", nth).join(queue, on)
+    out = taken.withColumn("__mix_e", F.explode(F.element_at("__mix_rows", F.col("__mix_nth"))))
+    order = [F.col("__mix_e.time"), F.col("__mix_e.rank"), F.col(alias["key"])]
+    return out.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
 
 
 def op8_mix_sources(spark, sf_dir):
@@ -139,17 +136,12 @@ l AS (
   SELECT *, (sum(source_size) OVER ())::DOUBLE * 150 / 100 AS budget,
          ((sum(source_size) OVER ())::DOUBLE * 150 / 100 - coalesce(sum(cap) OVER before, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS lam
   FROM w WINDOW before AS (ORDER BY cap / w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-m AS (SELECT *, min(CASE WHEN lam <= cap / w THEN lam END) OVER () AS level FROM l),
+m AS (SELECT *, (SELECT lam FROM l WHERE lam <= cap / w ORDER BY cap / w, rank LIMIT 1) AS level FROM l),
 g AS (SELECT src, rank, source_size, budget, CASE WHEN level IS NULL THEN cap ELSE least(cap, w * level) END AS target FROM m),
 q AS (
-  SELECT d.doc_id, d.size, d.key, g.source_size, g.target, g.budget, g.rank,
-         sum(d.size) OVER (PARTITION BY d.src ORDER BY d.key, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
-         row_number() OVER () AS row_no
-  FROM d JOIN g ON d.src IS NOT DISTINCT FROM g.src),
-e AS (
-  SELECT row_no, size, budget, rank, key, epoch, CASE WHEN target > 0 THEN (cum + source_size * epoch)::DOUBLE / target ELSE 0 END AS t
-  FROM q, (VALUES (0), (1)) AS v(epoch)),
-f AS (SELECT row_no, size, budget, sum(size) OVER (ORDER BY t, rank, key, epoch) AS running FROM e),
-n AS (SELECT row_no, count(*) FILTER (WHERE running <= budget) AS times FROM f GROUP BY row_no)
-SELECT doc_id, size, source_size, target, (size * times)::BIGINT AS taken FROM q JOIN n USING (row_no)
+  SELECT d.doc_id, d.size, g.source_size, g.target,
+         sum(d.size) OVER (PARTITION BY d.src ORDER BY d.key, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS start
+  FROM d JOIN g ON d.src IS NOT DISTINCT FROM g.src)
+SELECT doc_id, size, source_size, target,
+       (greatest(0, least(size, floor(target) - start)) + greatest(0, least(size, floor(target) - start - source_size)))::BIGINT AS taken FROM q
 """
