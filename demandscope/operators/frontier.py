@@ -167,7 +167,7 @@ def lbfgs(objective, start: np.ndarray, most: int, tolerance: float, memory: int
                 raise RuntimeError("no step lowers the objective")
         if (new - p) @ (ng - g) > 1e-14:
             steps = [*steps[1 - memory :], (new - p, ng - g)]
-        done = abs(value - v) < 1e-12 * max(1.0, abs(v))
+        done = value - v <= 1e-9 * max(1.0, abs(v))
         p, value, g = new, v, ng
         if done:
             return p
