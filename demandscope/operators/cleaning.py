@@ -54,9 +54,10 @@ def mark_outlets(master: DataFrame, coordinates: DataFrame) -> DataFrame:
         "Latitude": F.when(turn, F.col("Longitude")).otherwise(F.col("Latitude")),
         "Longitude": F.when(turn, F.col("Latitude")).otherwise(F.col("Longitude")),
     })
-    place = Window.partitionBy("Latitude", "Longitude").orderBy("Outlet_ID")
-    good = merged.where("failure_reason IS NULL").withColumn("failure_reason", F.when(F.row_number().over(place) > 1, SAME_GPS))
-    return good.unionByName(merged.where("failure_reason IS NOT NULL"))
+    # rows that are out already stand alone, so that many missing places are no common group
+    bad = F.col("failure_reason").isNotNull()
+    place = Window.partitionBy(F.when(bad, F.col("Outlet_ID")), bad, "Latitude", "Longitude").orderBy("Outlet_ID")
+    return merged.withColumn("failure_reason", F.coalesce("failure_reason", F.when(F.row_number().over(place) > 1, SAME_GPS)))
 
 
 def standardise(outlets: DataFrame) -> DataFrame:
