@@ -18,6 +18,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 #: Text handled at once by a Python operator, in bytes of the Arrow buffer; a longer single row makes a slice of its own.
 SLICE_BYTES = 4 << 20
+BATCH_ROWS = 4096
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -64,6 +65,20 @@ def release(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` with batches of bounded size: the session's limits are lowered where they are above ours.
+
+    Batches stand in buffers outside the heap on both sides of the pipe, once for each core; the default of 64 MB a batch is most of a small
+    executor's overhead.
+    """
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", SLICE_BYTES)):
+        now = str(conf.get(key, "0")).lower().rstrip("b")
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            conf.set(key, str(most))
+    return df.mapInArrow(function, schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts record batches so that ``column`` has about ``most`` bytes in each: bounded memory with very long texts."""
     for batch in batches:
@@ -79,3 +94,4 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
                 at, held = i, 0
             held += int(lengths[i])
         yield batch.slice(at)
+        pa.default_memory_pool().release_unused()

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, lower_ascii, slices, table
+from .common import WORD_RE, arrow, lower_ascii, slices, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -227,14 +227,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id long, first_word long, similarity double"
-    found = [docs.select("doc_id", "text").mapInArrow(_searched(g), schema) for g in item_groups(benchmark)]
+    found = [arrow(docs.select("doc_id", "text"), _searched(g), schema) for g in item_groups(benchmark)]
     return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], schema)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a match in ``contaminated``, with all their columns."""
     for g in item_groups(benchmark):
-        docs = docs.mapInArrow(_cleaned(g), docs.schema)
+        docs = arrow(docs, _cleaned(g), docs.schema)
     return docs
 
 

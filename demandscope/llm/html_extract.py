@@ -22,7 +22,7 @@ from functools import cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices, table
+from .common import arrow, slices, table
 
 #: Fixed vocabularies of HTML: elements without an end, of which nothing is text, that start a block, and that aren't content.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -210,7 +210,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     empty table; other columns are ignored; long pages are taken whole.
     """
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema}
-    return pages.select("page_id", "url", "html").mapInArrow(_extracted, f"page_id {kinds['page_id']}, url string, text string, n_chars long")
+    return arrow(pages.select("page_id", "url", "html"), _extracted, f"page_id {kinds['page_id']}, url string, text string, n_chars long")
 
 
 def op4_html_extract(spark, sf_dir):

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import slices, table
+from .common import arrow, slices, table
 
 LONG = 4
 GAP = 60  # words between matches of one chain
@@ -229,7 +229,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
-    return docs.select("doc_id", "text").mapInArrow(_scanned, schema)
+    return arrow(docs.select("doc_id", "text"), _scanned, schema)
 
 
 def op6_license_scan(spark, sf_dir):

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices, table
+from .common import arrow, slices, table
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret")
@@ -369,7 +369,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
-    return docs.select("doc_id", "text").mapInArrow(_found(trained()), schema)
+    return arrow(docs.select("doc_id", "text"), _found(trained()), schema)
 
 
 def op2_pii(spark, sf_dir):

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, release, slices, table
+from .common import arrow, materialize, release, slices, table
 
 DIMS = 1024
 TRAIN_ROWS = 4000
@@ -177,7 +177,7 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float, d
     """(weights, bias, what was estimated). Votes are counted over all documents; ``rows`` bounds only the scorer's sample."""
     n = docs.count()
     keyed = docs.select("text", F.xxhash64("doc_id", "text").alias("key"))
-    seen = materialize(keyed.mapInArrow(_surveyed(min(1.0, 1.5 * rows / max(n, 1))), "pattern int, key long, x binary"), "quality-votes")
+    seen = materialize(arrow(keyed, _surveyed(min(1.0, 1.5 * rows / max(n, 1))), "pattern int, key long, x binary"), "quality-votes")
     counts = {r.pattern: r.n for r in seen.groupBy("pattern").agg(F.count("*").alias("n")).collect()}  # at most 3 ** labellers rows
     posterior, right, share = estimate(counts)
     sample = seen.where("x IS NOT NULL").orderBy("key").limit(rows).select("pattern", "x").collect()  # bounded by rows
@@ -218,13 +218,13 @@ def classify(docs: DataFrame, threshold: float = THRESHOLD, rows: int = TRAIN_RO
     """
     weights, bias, _ = train(docs, rows)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_scored(weights, bias, threshold), f"doc_id {kind}, score double, kept boolean")
+    return arrow(docs.select("doc_id", "text"), _scored(weights, bias, threshold), f"doc_id {kind}, score double, kept boolean")
 
 
 def keep_good(docs: DataFrame, threshold: float = THRESHOLD, rows: int = TRAIN_ROWS) -> DataFrame:
     """The rows of ``docs`` that ``classify`` keeps, with all their columns."""
     weights, bias, _ = train(docs, rows)
-    return docs.mapInArrow(_filtered(weights, bias, threshold), docs.schema)
+    return arrow(docs, _filtered(weights, bias, threshold), docs.schema)
 
 
 def op9_quality_classifier(spark, sf_dir):

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices, table
+from .common import arrow, materialize, slices, table
 from .components import components
 
 SHINGLE = 3
@@ -91,7 +91,7 @@ def with_fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, text_key): the fingerprint as a signed long and a 64-bit key of the text; a null text is like an empty one."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
-    return rows.mapInArrow(_print_batches, f"doc_id {kind}, fp long, text_key long")
+    return arrow(rows, _print_batches, f"doc_id {kind}, fp long, text_key long")
 
 
 def signatures(fps: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def _link_batches(batches):
 
 def links(fps: DataFrame) -> DataFrame:
     """Distinct fingerprints (fp) to links (a, b) that join exactly the fingerprints reachable over steps of two bits or fewer."""
-    found = signatures(fps).repartition("sig").sortWithinPartitions("sig", "fp").mapInArrow(_link_batches, "sig long, a long, b long")
+    found = arrow(signatures(fps).repartition("sig").sortWithinPartitions("sig", "fp"), _link_batches, "sig long, a long, b long")
     found = materialize(found, "simhash-links")
     large = found.where("b IS NULL").select("sig", F.col("a").alias("fp"))
     segment = F.expr(f"shiftrightunsigned(sig, {SEGMENT}) div 64")

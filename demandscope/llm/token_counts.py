@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import slices, table
+from .common import arrow, slices, table
 
 VOCABULARY = "piece_bpe_32k.model"
 START = "▁"  # the vocabulary's sign for the start of a word
@@ -125,7 +125,7 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     other columns are ignored; texts are counted whole.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_counted(vocabulary or vocabulary_path()), f"doc_id {kind}, n_words long, n_tokens long")
+    return arrow(docs.select("doc_id", "text"), _counted(vocabulary or vocabulary_path()), f"doc_id {kind}, n_words long, n_tokens long")
 
 
 def op5_token_counts(spark, sf_dir):

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, release, shared_dir, slices, table
+from .common import arrow, materialize, release, shared_dir, slices, table
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -67,69 +67,51 @@ class PieceEncoder:
         self.clear()
 
     def clear(self):
-        self.place: dict[str, int] = {}
-        self.starts = np.zeros(1024, dtype=np.int64)
-        self.counts = np.zeros(1024, dtype=np.int64)
-        self.flat = np.zeros(4096, dtype=np.uint32)
-        self.used = 0
+        self.known = pa.array([], pa.string())  # pieces; starts and counts of their ids in flat stand at the same places
+        self.starts = self.counts = np.zeros(0, dtype=np.int64)
+        self.flat = np.zeros(0, dtype=np.uint32)
 
     def _add(self, pieces: list[str]) -> None:
         # a special token that no piece holds keeps pieces apart in one long text, which the library encodes fastest
         plain = [x for x in pieces if self.opening not in x] if self.mark else []
         odd = [x for x in pieces if self.opening in x] if self.mark else pieces
         groups = [plain[i : i + 128] for i in range(0, len(plain), 128)]
-        got = [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False)]
         counts: list[np.ndarray] = []
         ids: list[np.ndarray] = []
-        for x, g in zip(got, groups, strict=True):
-            cuts = np.flatnonzero(x == self.mark_id)
-            counts.append(np.diff(np.concatenate([[-1], cuts, [len(x)]])) - 1)
+        for e, g in zip(self.tokenizer.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False), groups, strict=True):
+            x = np.array(e.ids, dtype=np.uint32)
+            counts.append(np.diff(np.concatenate([[-1], np.flatnonzero(x == self.mark_id), [len(x)]])) - 1)
             ids.append(x[x != self.mark_id])
             assert len(counts[-1]) == len(g)
         for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False):
             ids.append(np.array(e.ids, dtype=np.uint32))
             counts.append(np.array([len(e.ids)]))
-        n, new = np.concatenate(counts), np.concatenate(ids)
-        at = len(self.place)
-        while at + len(n) > len(self.starts):
-            self.starts, self.counts = np.concatenate([self.starts, np.zeros_like(self.starts)]), np.concatenate([self.counts, np.zeros_like(self.counts)])
-        while self.used + len(new) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + len(new)] = new
-        self.starts[at : at + len(n)] = self.used + np.cumsum(n) - n
-        self.counts[at : at + len(n)] = n
-        self.used += len(new)
-        self.place.update(zip(plain + odd, range(at, at + len(n)), strict=True))
+        n = np.concatenate(counts)
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(n) - n])
+        self.counts = np.concatenate([self.counts, n])
+        self.flat = np.concatenate([self.flat, *ids])
+        self.known = pa.concat_arrays([self.known, pa.array(plain + odd, pa.string())])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per text); a null text has none."""
-        if len(self.place) > CACHED:
+        if len(self.known) > CACHED:
             self.clear()
         texts = pc.fill_null(texts, "")
         if not self.mark or not pc.any(pc.match_substring(texts, self.opening)).as_py():
             texts = pc.ascii_lower(texts) if self._lowers() else texts
         pieces = pc.ascii_split_whitespace(texts)
         coded = pieces.values.dictionary_encode()
-        known = coded.dictionary.to_pylist()
-        if missing := [x for x in known if x and x not in self.place]:
-            self._add(missing)
-        if "" not in self.place:
-            self._add_empty()
-        of = np.fromiter((self.place[x] for x in known), dtype=np.int64, count=len(known))
-        which = of[coded.indices.to_numpy()] if len(known) else np.zeros(0, dtype=np.int64)
+        place = pc.index_in(coded.dictionary, value_set=self.known)
+        if place.null_count:
+            self._add(coded.dictionary.filter(pc.is_null(place)).to_pylist())
+            place = pc.index_in(coded.dictionary, value_set=self.known)
+        which = place.to_numpy().astype(np.int64)[coded.indices.to_numpy()]
         n = self.counts[which]
         ends = np.cumsum(n)
         ids = self.flat[np.repeat(self.starts[which] - ends + n, n) + np.arange(ends[-1] if len(n) else 0)]
         upto = np.concatenate([[0], ends])[pieces.offsets.to_numpy()]
         return ids, np.diff(upto)
 
-    def _add_empty(self):
-        at = len(self.place)
-        if at >= len(self.starts):
-            self.starts, self.counts = np.concatenate([self.starts, np.zeros_like(self.starts)]), np.concatenate([self.counts, np.zeros_like(self.counts)])
-        self.starts[at] = self.counts[at] = 0
-        self.place[""] = at
-
     def _lowers(self) -> bool:
         """Whether the vocabulary lower-cases by itself, so that lower-casing first changes nothing but the number of pieces."""
         if not hasattr(self, "lowers"):
@@ -228,14 +210,14 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID)
     width = 2 if max(encoder(vocabulary).size, end_id + 1) <= 1 << 16 else 4
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
-    tokens = materialize(ordered.mapInArrow(_tokenized(vocabulary, end_id), BLOCKS), "token-ids")
-    counts = tokens.select("ids").mapInArrow(_counted(width), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    tokens = materialize(arrow(ordered, _tokenized(vocabulary, end_id), BLOCKS), "token-ids")
+    counts = arrow(tokens.select("ids"), _counted(width), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     found = counts.collect()  # at most one row for each id of the vocabulary
     ranked = sorted(((r.id, r.n) for r in found), key=lambda x: (-x[1], x[0]))
     spark.createDataFrame([(k, i, n) for k, (i, n) in enumerate(ranked)], "rank long, id long, count long").coalesce(1).write.parquet(f"{path}/ranks")
     rank_of = np.zeros(max([i for i, _ in ranked], default=0) + 1, dtype=np.uint32)
     rank_of[[i for i, _ in ranked]] = np.arange(len(ranked), dtype=np.uint32)
-    tokens.mapInArrow(_encoded(rank_of, width), "part int, block int, doc_ids array<long>, lengths array<long>, control binary, data binary").write.option("compression", "none").parquet(f"{path}/blocks")
+    arrow(tokens, _encoded(rank_of, width), "part int, block int, doc_ids array<long>, lengths array<long>, control binary, data binary").write.option("compression", "none").parquet(f"{path}/blocks")
     release(tokens)
     return path
 
@@ -273,7 +255,7 @@ def read_ids(spark, path: str, with_ids: bool = False) -> DataFrame:
     inside = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(earlier, "part").select("part", "block", (F.col("before") + F.col("earlier")).alias("offset"))
     extra = ", ids array<long>" if with_ids else ""
-    docs = blocks.mapInArrow(_decoded(id_of, with_ids), f"part int, block int, doc_id long, inside long, n_tokens long, ids_crc32 long{extra}")
+    docs = arrow(blocks, _decoded(id_of, with_ids), f"part int, block int, doc_id long, inside long, n_tokens long, ids_crc32 long{extra}")
     return docs.join(offsets, ["part", "block"]).select("doc_id", (F.col("offset") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
 
 
