@@ -73,7 +73,7 @@ def arrow(df: DataFrame, function, schema) -> DataFrame:
     """
     conf = df.sparkSession.conf
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", SLICE_BYTES)):
-        now = str(conf.get(key, "0")).lower().rstrip("b")
+        now = str(conf.get(key)).lower().rstrip("b")
         if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
             conf.set(key, str(most))
     return df.mapInArrow(function, schema)
