@@ -50,7 +50,7 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float, condition: Col
 def competitor_graph(outlets: DataFrame, radius: float = 5000.0, sigma: float = 1000.0) -> DataFrame:
     """One row for each pair of outlets within the radius, the smaller id first: distance (2 places) and friction (4 places)."""
     a = projected(outlets, F.col("Outlet_ID").alias("Source_Outlet_ID"))
-    b = projected(outlets, F.col("Outlet_ID").alias("Target_Competitor_ID")).withColumnsRenamed({"x": "rx", "y": "ry"})
+    b = a.withColumnsRenamed({"Source_Outlet_ID": "Target_Competitor_ID", "x": "rx", "y": "ry"})
     pairs = radius_join(a, b, radius, F.col("Source_Outlet_ID") < F.col("Target_Competitor_ID"))
     return pairs.select("Source_Outlet_ID", "Target_Competitor_ID", round_half_even(F.col("distance"), 2).alias("Distance_Meters"), round_half_even(gaussian_decay(F.col("distance"), sigma), 4).alias("Competitive_Friction"))
 

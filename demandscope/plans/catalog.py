@@ -45,11 +45,14 @@ def _edges(s, d):
 
 
 def _gold(s, d):
-    return features.gold_features(T.transactions(s, d), _dims(s, d), _competitors(s, d), _edges(s, d), T.seasons(s, d), T.holidays(s, d))
+    dims = _dims(s, d)
+    edges = spatial.poi_edges(dims, T.pois(s, d), density_scale=DENSITY)
+    return features.gold_features(T.transactions(s, d), dims, spatial.competitor_graph(dims), edges, T.seasons(s, d), T.holidays(s, d))
 
 
 def _gold_legacy(s, d):
-    return features.gold_features_legacy(T.transactions(s, d), _dims(s, d), _competitors(s, d), spatial.poi_counts(_dims(s, d), T.pois(s, d)), T.seasons(s, d), T.holidays(s, d))
+    dims = _dims(s, d)
+    return features.gold_features_legacy(T.transactions(s, d), dims, spatial.competitor_graph(dims), spatial.poi_counts(dims, T.pois(s, d)), T.seasons(s, d), T.holidays(s, d))
 
 
 #: Digits shown of the gold table's measures: quotients of short decimals get ten, so that no tie is rounded.
@@ -316,8 +319,9 @@ def dq_datatypes(s, d):
 
 
 def silver_report(s, d):
-    kept, _ = cleaning.clean_transactions(T.dirty_transactions(s, d), _dims(s, d))
-    return quality.silver_report(kept, _dims(s, d), cleaning.KEYS)
+    dims = _dims(s, d)
+    kept, _ = cleaning.clean_transactions(T.dirty_transactions(s, d), dims)
+    return quality.silver_report(kept, dims, cleaning.KEYS)
 
 
 def bronze_report(s, d):
