@@ -1,9 +1,10 @@
 """Licence scans with a generalised suffix automaton.
 
 The automaton recognises every run of words of every licence template. A text streams through it once, which gives for each word the
-longest run ending there that some template holds (matching statistics). Runs of ``LONG`` words or more that can't be extended are chained, for each template,
-into the largest part of the template that they cover in order; a template is reported when that part is large enough. Words that no
-template has cut the stream, so only stretches of ``LONG`` template words in a row need the automaton at all.
+longest run ending there that some template holds (matching statistics); suffix links lead to the shorter runs that other templates hold. Runs of ``LONG``
+words or more that can't be extended at their place in a template are chained, for each template, into the largest part of the template that they cover in
+order; a template is reported when that part is large enough. A run inside a longer run of a reported template counts for no other label: the notice of
+one version isn't that of another. Words that no template has cut the stream, so only stretches of ``LONG`` template words in a row need the automaton at all.
 """
 
 from __future__ import annotations
@@ -67,19 +68,23 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 class Automaton:
-    """Suffix automaton of several word sequences; a state knows in which templates, and where, its runs first end."""
+    """Suffix automaton of several word sequences; a state knows in which templates, and where, its runs end."""
 
     def __init__(self, sequences: list[list[int]]):
+        self.sequences = sequences
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         self.ends: list[dict[int, int]] = [{}]  # template -> first end
+        self.places: list[set[tuple[int, int]]] = [set()]  # (template, end), all of them
         for t, seq in enumerate(sequences):
             last = 0
             for at, c in enumerate(seq):
                 last = self._extend(last, c)
                 self.ends[last].setdefault(t, at + 1)
+                self.places[last].add((t, at + 1))
         # a run of a longer state ends where the longer one does
         for s in sorted(range(1, len(self.length)), key=lambda x: -self.length[x]):
+            self.places[self.link[s]] |= self.places[s]
             up = self.ends[self.link[s]]
             for t, at in self.ends[s].items():
                 up[t] = min(up.get(t, at), at)
@@ -89,6 +94,7 @@ class Automaton:
         self.link.append(link)
         self.length.append(length)
         self.ends.append({})
+        self.places.append(set())
         return len(self.length) - 1
 
     def _split(self, p: int, c: int) -> int:
@@ -128,12 +134,19 @@ class Automaton:
         return out
 
     def matches(self, codes: list[int], long: int = LONG) -> list[tuple[int, int, int, int]]:
-        """(end in text, template, first and end in template) of runs of ``long`` words or more that can't be extended to the right."""
-        stats = self.statistics(codes)
+        """(end in text, template, first and end in template) of runs of ``long`` words or more that can't be extended at that place of the template."""
         out = []
-        for i, (n, state) in enumerate(stats):
-            if n >= long and (i + 1 == len(stats) or stats[i + 1][0] <= n):
-                out += [(i + 1, t, end - n, end) for t, end in self.ends[state].items()]
+        for i, (n, state) in enumerate(self.statistics(codes)):
+            after = codes[i + 1] if i + 1 < len(codes) else None
+            below: set[tuple[int, int]] = set()
+            while n >= long:
+                for t, end in self.places[state] - below:
+                    seq = self.sequences[t]
+                    if end == len(seq) or seq[end] != after:
+                        out.append((i + 1, t, end - n, end))
+                below = self.places[state]
+                state = self.link[state]
+                n = self.length[state]
         return out
 
 
@@ -150,23 +163,64 @@ class Scanner:
         self.automaton = Automaton([[code[w] for w in ws] for _, ws in rows])
         self.phrases = [([code[w] for w in p], label) for p, label in zip(phrases, PHRASES.values(), strict=True)]
 
-    def chain(self, found: list[tuple[int, int, int, int]]) -> dict[str, float]:
-        """Covered part of the best chain for each label."""
-        out: dict[str, float] = {}
+    def chain(self, t: int, rows: list[tuple[int, int, int]]) -> tuple[int, list[tuple[int, int]]]:
+        """(words, runs in the text) of the chain that covers most of template ``t``; no word of either counts twice."""
+        size, top, last = self.sizes[t], (0, -1), -GAP
+        rows = sorted(rows)
+        before: list[int] = []  # the match before, in the best chain that ends with each
+        best = who = None
+        recent: list[tuple[int, int, int, int]] = []  # (end in text, end in template, value, match) of those that a later match may overlap in the text
+        for k, (at, a, b) in enumerate(rows):
+            start = at - (b - a)
+            if best is None or start - last > GAP:
+                best = np.zeros(size + 1, dtype=np.int64)  # most words covered by a chain that ends at a place or before
+                who = np.full(size + 1, -1)
+                recent = []
+            while recent and recent[0][0] <= at - size:
+                _, y, value, j = recent.pop(0)
+                better = best[y:] < value
+                best[y:][better], who[y:][better] = value, j
+            values = best[: b + 1] + b - np.maximum(a, np.arange(b + 1))
+            p = int(values.argmax())
+            value, prior = int(values[p]), int(who[p])
+            for x, y, v, j in recent:
+                if x < at and y < b:
+                    v += min(b - max(a, y), at - max(start, x))
+                    if v > value:
+                        value, prior = v, j
+            before.append(prior)
+            recent.append((at, b, value, k))
+            top, last = top if top[0] >= value else (value, k), at
+            if value == size:
+                break
+        runs, k = [], top[1]
+        while k >= 0:
+            at, a, b = rows[k]
+            runs.append((at - (b - a), at))
+            k = before[k]
+        return top[0], runs
+
+    def parts(self, found: list[tuple[int, int, int, int]]) -> tuple[float, set[str]]:
+        """(covered part of the best chain, labels of templates that are covered)."""
         by: dict[int, list[tuple[int, int, int]]] = {}
         for at, t, a, b in found:
             by.setdefault(t, []).append((at, a, b))
-        for t, rows in by.items():
-            size, best, last = self.sizes[t], None, -GAP
-            top = 0
-            for at, a, b in sorted(rows):
-                if best is None or at - (b - a) - last > GAP:
-                    best = np.zeros(size + 1, dtype=np.int64)  # most words covered by a chain that ends at a place or before
-                value = int((best[: b + 1] + b - np.maximum(a, np.arange(b + 1))).max())
-                best[b:] = np.maximum(best[b:], value)
-                top, last = max(top, value), at
-            out[self.labels[t]] = max(out.get(self.labels[t], 0.0), top / size)
-        return out
+        chains = {t: self.chain(t, rows) for t, rows in by.items()}
+        score = max((words / self.sizes[t] for t, (words, _) in chains.items()), default=0.0)
+        labels: set[str] = set()
+        # most words first; what lies inside a longer run of a reported template is no sign of another label
+        while chains:
+            t = max(chains, key=lambda x: (chains[x][0], -x))
+            words, runs = chains.pop(t)
+            if words / self.sizes[t] < COVERED:
+                continue
+            labels.add(self.labels[t])
+            for o in [o for o in chains if self.labels[o] != self.labels[t]]:
+                left = [(at, a, b) for at, a, b in by[o] if not any(x <= at - (b - a) and at <= y and b - a < y - x for x, y in runs)]
+                if len(left) < len(by[o]):
+                    by[o] = left
+                    chains[o] = self.chain(o, left)
+        return score, labels
 
     def scan(self, texts: pa.Array) -> list[tuple]:
         """(n_words, n_base, first, last, base labels, labels, score) of each text."""
@@ -198,11 +252,10 @@ class Scanner:
                     found.setdefault(int(row[a]), []).append((base + at, t, x, y))
         out = []
         for i in range(len(n)):
-            parts = self.chain(found[i]) if i in found else {}
+            score, own = self.parts(found[i]) if i in found else (0.0, set())
             base = sorted({label for _, label in places[i]})
-            own = {label for label, part in parts.items() if part >= COVERED}
             at = [p for p, _ in places[i]]
-            out.append((int(n[i]), len(at), min(at, default=None), max(at, default=None), ",".join(base), ",".join(sorted({*base, *own})), float(max(parts.values(), default=0.0))))
+            out.append((int(n[i]), len(at), min(at, default=None), max(at, default=None), ",".join(base), ",".join(sorted({*base, *own})), score))
         return out
 
 
