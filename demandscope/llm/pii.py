@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from array import array
 from functools import cache
 
 import numpy as np
@@ -137,25 +138,40 @@ def span_features(text: str, start: int, end: int, tokens: int) -> list[int]:
     return out + [FEATURE[k] for k, v in found.items() if v]
 
 
-def candidates(text: str, start: int, end: int):
-    """(token bounds, candidate segments as (first, end) tokens, their features as a 0/1 matrix) of a stretch."""
-    tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text, start, end)]
-    trigger = [_TRIGGER.search(text, a, b) is not None for a, b in tokens]
+def _tokens(text: str, start: int, end: int):
+    """(starts, ends, whether they hold a digit or an at sign) of a stretch's tokens."""
+    starts, ends, trigger = array("q"), array("q"), bytearray()
+    for m in _TOKEN.finditer(text, start, end):
+        starts.append(m.start())
+        ends.append(m.end())
+        trigger.append(_TRIGGER.search(text, m.start(), m.end()) is not None)
+    return starts, ends, trigger
+
+
+def _segments(text: str, starts, ends, trigger, first: int, last: int):
+    """(candidate segments that begin at tokens first to last - 1, their features as a 0/1 matrix)."""
     segments, rows = [], []
-    for i, (a, _) in enumerate(tokens):
+    for i in range(first, last):
+        a = starts[i]
         if not (text[a].isalnum() or text[a] in "+("):
             continue
         seen = False
-        for j in range(i, min(i + LONGEST, len(tokens))):
+        for j in range(i, min(i + LONGEST, len(starts))):
             seen = seen or trigger[j]
-            b = tokens[j][1]
+            b = ends[j]
             if seen and text[b - 1].isalnum():
                 segments.append((i, j + 1))
                 rows.append(span_features(text, a, b, j + 1 - i))
     x = np.zeros((len(rows), len(FEATURE)))
     for k, r in enumerate(rows):
         x[k, r] = 1
-    return tokens, segments, x
+    return segments, x
+
+
+def candidates(text: str, start: int, end: int):
+    """(token bounds, candidate segments as (first, end) tokens, their features as a 0/1 matrix) of a stretch."""
+    starts, ends, trigger = _tokens(text, start, end)
+    return list(zip(starts, ends, strict=True)), *_segments(text, starts, ends, trigger, 0, len(starts))
 
 
 # ---- the field
@@ -175,28 +191,38 @@ class Field:
 
     def decode(self, n: int, segments, x: np.ndarray) -> list[tuple[int, int, int]]:
         """Best labelling as (first, end, label) of entities."""
-        score, by = x @ self.w, self._ending(n, segments)
-        best = np.full((n + 1, len(LABELS)), -np.inf)
-        best[0, 0] = 0
-        back: list[list] = [[None] * len(LABELS) for _ in range(n + 1)]
-        arrive = np.zeros((n + 1, len(LABELS)))
-        came = np.zeros((n + 1, len(LABELS)), dtype=int)
+        return self.best(n, [(n, segments, x @ self.w)])
+
+    def best(self, n: int, blocks) -> list[tuple[int, int, int]]:
+        """The same from blocks (end of their first tokens, segments, scores) in order; of what lies ``LONGEST`` tokens back only the path is kept."""
+        blocks, upto, size = iter(blocks), 0, len(LABELS)
+        ending: dict[int, list] = {}
+        back, came = np.zeros((n + 1, size), dtype=np.int32), np.zeros((n + 1, size), dtype=np.int8)
+        arrive: list = [None] * (LONGEST + 1)
         for j in range(n + 1):
+            best = [-np.inf] * size
             if j:
-                best[j, 0], back[j][0] = arrive[j - 1, 0], (j - 1, came[j - 1, 0])
-                for k, i in by[j]:
-                    for y in range(1, len(LABELS)):
-                        v = arrive[i, y] + score[k, y - 1]
-                        if v > best[j, y]:
-                            best[j, y], back[j][y] = v, (i, came[i, y])
-            through = best[j][:, None] + self.t
-            arrive[j], came[j] = through.max(axis=0), through.argmax(axis=0)
-        out, j, y = [], n, int(best[n].argmax())
+                best[0], back[j, 0] = arrive[(j - 1) % (LONGEST + 1)][0], j - 1
+                for i, score in ending.pop(j, ()):
+                    at = arrive[i % (LONGEST + 1)]
+                    for y in range(1, size):
+                        v = at[y] + score[y - 1]
+                        if v > best[y]:
+                            best[y], back[j, y] = v, i
+            else:
+                best[0] = 0.0
+            through = np.array(best)[:, None] + self.t
+            arrive[j % (LONGEST + 1)], came[j] = through.max(axis=0).tolist(), through.argmax(axis=0)
+            if j == upto < n:
+                upto, segments, scores = next(blocks)
+                for (i, end), score in zip(segments, scores.tolist(), strict=True):
+                    ending.setdefault(end, []).append((i, score))
+        out, j, y = [], n, int(np.argmax(best))
         while j:
-            i, before = back[j][y]
+            i = int(back[j, y])
             if y:
                 out.append((i, j, y))
-            j, y = i, int(before)
+            j, y = i, int(came[i, y])
         return out[::-1]
 
     def gradient(self, n: int, segments, x: np.ndarray, gold: dict[tuple[int, int], int]):
@@ -305,26 +331,24 @@ def trained(epochs: int = 6, rate: float = 0.3) -> Field:
     return field
 
 
-STRETCH, OVERLAP = 4096, 512  # characters of a stretch decoded at once, and shared with the next
+BLOCK = 512  # tokens whose segments are scored at once
+
+
+def _scored(text: str, tokens, field: Field):
+    n = len(tokens[0])
+    for first in range(0, n, BLOCK):
+        last = min(n, first + BLOCK)
+        segments, x = _segments(text, *tokens, first, last)
+        yield last, segments, x @ field.w
 
 
 def field_spans(text: str, field: Field) -> list[tuple[str, int, int]]:
-    """Entities that the field finds. A stretch over ``STRETCH`` characters is decoded in overlapping parts: bounded memory."""
+    """Entities that the field finds. Each stretch is decoded whole; segments are scored by blocks, so a long one takes some 50 bytes a token."""
     out = []
     for a, b in zones(text):
-        at, free = a, a
-        while at < b:
-            end = b if b - at <= STRETCH else at + STRETCH
-            until = b if end == b else end - OVERLAP // 2
-            tokens, segments, x = candidates(text, at, end)
-            if segments:
-                found = [(LABELS[y], tokens[i][0], tokens[j - 1][1]) for i, j, y in field.decode(len(tokens), segments, x)]
-                for span in found:
-                    if free <= span[1] < until:
-                        out.append(span)
-                        free = span[2]
-            at = b if end == b else end - OVERLAP
-            free = max(free, until)
+        tokens = _tokens(text, a, b)
+        starts, ends, _ = tokens
+        out += [(LABELS[y], starts[i], ends[j - 1]) for i, j, y in field.best(len(starts), _scored(text, tokens, field))]
     return out
 
 
