@@ -43,9 +43,41 @@ _SPACES = re.compile(r"\s+")
 
 def noted(tag: str) -> bool:
     """Whether attributes say that the element is beside the content."""
-    if "=" not in tag:
-        return False
-    return any(p.lower() in NOTES for m in _MARKED.finditer(tag) for p in _PARTS.findall(m[1] or m[2] or m[3] or "")) or _HIDDEN.search(tag) is not None
+    return "=" in tag and any(p.lower() in NOTES for m in _MARKED.finditer(tag) for p in _PARTS.findall(m[1] or m[2] or m[3] or ""))
+
+
+def hidden(tag: str) -> bool:
+    return "=" in tag and _HIDDEN.search(tag) is not None
+
+
+class _Scope:
+    """An element whose class, id or role marks it (``marked``), or an ``article`` or ``main`` that may undo the mark."""
+
+    def __init__(self, up: _Scope | None, marked: bool, name: str):
+        self.up, self.marked, self.name = up, marked, name
+        self.words, self.holds, self.off = 0, False, False
+
+    def above(self):
+        x = self.up
+        while x is not None:
+            yield x
+            x = x.up
+
+
+def _settle(scopes: list[_Scope], total: int, rest: int) -> None:
+    """Which scopes are beside the content.
+
+    A mark doesn't count for an element with most of the page's words that holds a first heading, an article or main, or beside which there is next
+    to nothing unmarked: that is a wrapper. An article with most words of all articles, and main, are content in marked elements too.
+    """
+    articles = sum(x.words for x in scopes if x.name == "article" and not any(y.name == "article" for y in x.above()))
+    rest += sum(x.words for x in scopes if not x.marked and any(y.marked for y in x.above()))
+    for x in scopes:
+        above = x.up is not None and x.up.off
+        if x.marked:
+            x.off = above or not (2 * x.words > total and (x.holds or 10 * rest < x.words))
+        else:
+            x.off = above and not (x.name == "main" or 2 * x.words > articles)
 
 
 def parse(page: str) -> list[tuple[str, str, bool]]:
@@ -53,40 +85,60 @@ def parse(page: str) -> list[tuple[str, str, bool]]:
 
     Truncated pages, unclosed and stray tags are fine; comments, scripts and the like are left out.
     """
-    out: list[tuple[str, str, bool]] = []
-    open_: list[tuple[str, bool]] = []  # elements that have an end, and whether what they hold is beside the content
+    out: list[tuple] = []  # kind, value, beside by name, scope, and the last two of what an element stands in
+    open_: list[tuple[str, bool, _Scope | None]] = []  # elements that have an end, and whether what they hold is beside the content
+    scopes: list[_Scope] = []
+    total = rest = 0  # words not beside by name, and those in no marked element
     at, n = 0, len(page)
     while at < n:
         m = _PIECE.match(page, at)
         piece = m[0]
         at = m.end()
-        beside = bool(open_) and open_[-1][1]
+        beside, scope = open_[-1][1:] if open_ else (False, None)
         if not (piece[0] == "<" and len(piece) > 1):
-            out.append(("text", piece, beside))
+            out.append(("text", piece, beside, scope, None))
+            if not beside:
+                words, marked = len(piece.split()), False
+                total += words
+                for x in (scope, *scope.above()) if scope else ():
+                    x.words += words
+                    marked = marked or x.marked
+                rest += 0 if marked else words
             continue
         named = _NAME.match(piece)
         if not named:
             continue  # comments, declarations
         name = named[1].lower()
         if piece[1] == "/":
-            names = [x for x, _ in open_]
+            names = [x[0] for x in open_]
             if name in names:
                 del open_[len(names) - 1 - names[::-1].index(name) :]
-            out.append(("tag", "/" + name, bool(open_) and open_[-1][1]))
+            out.append(("tag", "/" + name, *(open_[-1][1:] if open_ else (False, None)), None))
             continue
         if name in RAW and not piece.endswith("/>"):
             end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else n
-            out.append(("tag", name, beside))
+            out.append(("tag", name, beside, scope, None))
             continue
-        inside_article = any(x == "article" or x == "main" for x, _ in open_)
+        inside_article = any(x[0] == "article" or x[0] == "main" for x in open_)
         if name in VOID or piece.endswith("/>"):
-            out.append(("tag", name, beside))
+            out.append(("tag", name, beside, scope, None))
             continue
-        off = beside or name in OTHER or (name == "header" and not inside_article) or (name not in ("html", "body", "article", "main", "p", "b", "i", "em", "strong", "span", "h1", "h2", "h3") and noted(piece))
-        open_.append((name, off))
-        out.append(("tag", name + ("*" if off and not beside else ""), off))
-    return out
+        may = name not in ("html", "body", "article", "main", "p", "b", "i", "em", "strong", "span", "h1", "h2", "h3")
+        off = beside or name in OTHER or (name == "header" and not inside_article) or (may and hidden(piece))
+        outer = (beside, scope)
+        content = name in ("article", "main") and not noted(piece)
+        if not off and (name == "h1" or content):
+            for x in (scope, *scope.above()) if scope else ():
+                x.holds = True
+        if not off and (content or (may and noted(piece))):
+            scope = _Scope(scope, may, name)
+            scopes.append(scope)
+        open_.append((name, off, scope))
+        out.append(("tag", name, off, scope, outer))
+    _settle(scopes, total, rest)
+    final = lambda off, scope: off or (scope is not None and scope.off)
+    return [(kind, value + ("*" if outer and final(off, scope) and not final(*outer) else ""), final(off, scope)) for kind, value, off, scope, outer in out]
 
 
 def labelled_pages(count: int = 60, seed: int = 7) -> list[list[tuple[str, str, bool]]]:
