@@ -391,8 +391,8 @@ def test_mix_meets_its_targets(spark):
         assert 0 <= r.taken <= 2 * r.size
         taken[r.source] += r.taken
         goal[r.source] = r.target
-    assert all(-1 < taken[s] - goal[s] <= 0 for s in goal)
-    assert abs(sum(taken.values()) - 1.5 * sum(r.size for r in got)) <= len(goal)
+    assert all(abs(taken[s] - goal[s]) < 2 for s in goal)
+    assert sum(taken.values()) == int(1.5 * sum(r.size for r in got))  # the budget, to the word
     assert sum(0 < r.taken % max(r.size, 1) for r in got) <= len(goal)  # one document of a source is in service at the end
     again = mixing.mix(spark.read.parquet(f"{SF}/documents.parquet").repartition(5)).collect()
     assert Counter((r.doc_id, r.taken) for r in got) == Counter((r.doc_id, r.taken) for r in again)
