@@ -41,35 +41,77 @@ def let(value: Column, body) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``, or a local one where that is unset."""
+    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
+
+    Where that is unset, a local session gets a temporary folder; on a cluster, where executors couldn't read it, this raises.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="demandscope-"))
+        known = sc.getConf().get("spark.checkpoint.dir")
+        if not known and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(known or tempfile.mkdtemp(prefix="demandscope-"))
     return sc.getCheckpointDir()
 
 
+_MADE: list[str] = []  # tables of the shared folder that this driver made and has not deleted
+
+
+def _store(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def keep_until_exit(spark: SparkSession, path: str) -> None:
+    """Has a folder of the shared place deleted when the driver's JVM ends, if ``release`` or ``released`` doesn't do so before."""
+    store, p = _store(spark, path)
+    store.deleteOnExit(p)
+    _MADE.append(path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as Parquet to the shared folder and reads it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    keep_until_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._shared_path = path
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    store, p = _store(spark, path)
+    store.delete(p, True)
+    store.cancelDeleteOnExit(p)
+    _MADE.remove(path)
+
+
 def release(df: DataFrame) -> None:
     """Deletes a table of ``materialize`` that no later plan reads."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._shared_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(df.sparkSession, df._shared_path)
+
+
+def finished(df: DataFrame, name: str, begun: int) -> DataFrame:
+    """``materialize``, then deletes all that was made since ``begun`` (a length of ``made()``): what an operator needed on its way."""
+    before = _MADE[begun:]
+    out = materialize(df, name)
+    for path in before:
+        _delete(df.sparkSession, path)
+    return out
+
+
+def made() -> int:
+    return len(_MADE)
 
 
 def arrow(df: DataFrame, function, schema) -> DataFrame:
-    """``df.mapInArrow`` with batches of bounded size: the session's limits are lowered where they are above ours.
+    """``df.mapInArrow`` with batches of bounded size.
 
-    Batches stand in buffers outside the heap on both sides of the pipe, once for each core; the default of 64 MB a batch is most of a small
-    executor's overhead.
+    The size of batches is a setting of the session that Spark reads when the plan runs, so it can't be put back here: the session's limits
+    (``spark.sql.execution.arrow.maxRecordsPerBatch`` and ``maxBytesPerBatch``) are lowered to ours for good where they are above, and stay where they
+    are lower. Batches stand in buffers outside the heap on both sides of the pipe, once for each core; the default of 64 MB a batch is most of a
+    small executor's overhead.
     """
     conf = df.sparkSession.conf
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", SLICE_BYTES)):

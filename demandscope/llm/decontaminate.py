@@ -2,22 +2,22 @@
 
 An item is a multiset of five-word shingles (its whole word sequence if it is shorter) with a 64-bit SimHash. Of a document, the windows of an
 item's length that hold at least one shingle of an item of that length are fingerprinted; any other window shares nothing with the item, so
-its similarity is zero and nothing is lost. Fingerprints are cut into ``BLOCKS`` blocks. Two that differ in at most ``RADIUS`` bits
-differ in at most ``RADIUS // BLOCKS`` bits of some block, so a table from block values to the items within that distance finds all items
-within the radius; what it finds is checked by the whole distance. Survivors are compared exactly: the weighted Jaccard similarity of the shingle
-multisets must reach ``SIMILARITY``.
-
-At similarity 0.8, one shingle in nine differs, which turns 9.7 of 64 bits on average (standard deviation 2.9); the radius lies
-almost three deviations above.
+its similarity is zero and nothing is lost by that. Candidates of such a window are the items whose fingerprints lie within ``RADIUS`` bits, found by blocks:
+two fingerprints that differ in at most ``RADIUS`` bits differ in at most ``RADIUS // BLOCKS`` bits of some of ``BLOCKS`` blocks, so the values that are
+so close to the window's block are looked up among the items' and what is found is checked by the whole distance. Survivors are compared exactly: the
+weighted Jaccard similarity of the shingle multisets must reach ``SIMILARITY``. After the exact lookup the radius can only discard: at similarity 0.8, one
+shingle in nine differs, which turns 9.7 of 64 bits on average (standard deviation 2.9), and the radius lies almost three deviations above.
 
 Items are read to the driver and sent to the tasks in groups of at most ``GROUP_WORDS`` words, with a pass over the documents for each group, so that
-a benchmark of any size is compared whole with bounded memory.
+a benchmark of any size is compared whole with bounded memory: a group takes some 40 bytes a word and 50 an item, once in each Python worker.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter, defaultdict
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import WORD_RE, arrow, lower_ascii, slices, table
 
@@ -66,55 +67,87 @@ def window_fingerprints(hashes: np.ndarray, m: int) -> np.ndarray:
     return np.packbits(set_, axis=1, bitorder="little").view("<u8").ravel()
 
 
+def _near(bits: int) -> np.ndarray:
+    """The differences of at most ``RADIUS // BLOCKS`` of so many bits."""
+    return np.array([sum(1 << b for b in some) for n in range(RADIUS // BLOCKS + 1) for some in combinations(range(bits), n)], dtype=np.int64)
+
+
 class HammingIndex:
-    """All of a set of fingerprints within ``RADIUS`` bits of a query."""
+    """All of a set of fingerprints within ``RADIUS`` bits of a query.
 
-    def __init__(self, fps: list[int]):
-        self.fps = np.array(fps, dtype=np.uint64)
-        self.near: list[dict[int, list[int]]] = []
+    For each block the fingerprints' numbers in order of their block's value, and where each value begins; the values near a query's are made when it asks.
+    """
+
+    def __init__(self, fps: np.ndarray):
+        self.fps = np.asarray(fps, dtype=np.uint64)
+        self.blocks = []
         for lo, hi in zip(_EDGES, _EDGES[1:], strict=False):
-            values = np.arange(1 << (hi - lo), dtype=np.uint64)
-            block = (self.fps >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)
-            close = np.bitwise_count(values[:, None] ^ block[None, :]) <= RADIUS // BLOCKS
-            self.near.append([np.flatnonzero(x) for x in close])
+            block = ((self.fps >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)).astype(np.int64)
+            order = np.argsort(block, kind="stable").astype(np.int32)
+            begin = np.searchsorted(block[order], np.arange((1 << (hi - lo)) + 1)).astype(np.int32)
+            self.blocks.append((order, begin, _near(hi - lo)))
+
+    def find_all(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, fingerprint) numbers of all pairs within the radius, each once, in order."""
+        found = [np.zeros((0, 2), dtype=np.int64)]
+        for at in range(0, len(queries), 256):
+            some = queries[at : at + 256]
+            pairs = []
+            for (lo, hi), (order, begin, near) in zip(zip(_EDGES, _EDGES[1:], strict=False), self.blocks, strict=True):
+                values = ((some >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)).astype(np.int64)[:, None] ^ near[None, :]
+                first, n = begin[values].ravel(), (begin[values + 1] - begin[values]).ravel()
+                hit = np.flatnonzero(n)
+                first, n = first[hit], n[hit]
+                place = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                items, who = order[place], np.repeat(hit // len(near), n)
+                close = np.bitwise_count(self.fps[items] ^ some[who]) <= RADIUS
+                pairs.append(np.stack([who[close] + at, items[close]], axis=1))
+            found.append(np.unique(np.concatenate(pairs), axis=0))
+        every = np.concatenate(found)
+        return every[:, 0], every[:, 1]
 
     def find(self, fp: int) -> list[int]:
-        found = np.unique(np.concatenate([near[(fp >> lo) & ((1 << (hi - lo)) - 1)] for near, lo, hi in zip(self.near, _EDGES, _EDGES[1:], strict=False)]))
-        return found[np.bitwise_count(self.fps[found] ^ np.uint64(fp)) <= RADIUS].tolist()
+        return self.find_all(np.array([fp], dtype=np.uint64))[1].tolist()
 
 
 class Benchmark:
     """What tasks need of a group of items; made once a worker."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.items = [(i, ws) for i, t in items if (ws := words(t))]
-        self.bags = [Counter(shingles(ws)) for _, ws in self.items]
-        self.by_length: dict[int, list[int]] = defaultdict(list)
-        for k, (_, ws) in enumerate(self.items):
-            self.by_length[len(ws)].append(k)
-        self.index = {}
-        for n, ks in self.by_length.items():
-            fps = [int(window_fingerprints(np.array([_hash(s) for s in shingles(self.items[k][1])], dtype=np.uint64), max(n - SHINGLE + 1, 1))[0]) for k in ks]
-            self.index[n] = HammingIndex(fps)
-        vocabulary = sorted({w for _, ws in self.items for w in ws})
+        split = [(i, ws) for i, t in items if (ws := words(t))]
+        self.ids = [i for i, _ in split]
+        vocabulary = sorted({w for _, ws in split for w in ws})
         self.vocabulary = pa.array(vocabulary, pa.string())
         code = {w: k for k, w in enumerate(vocabulary)}
-        # shingles of each size as sorted codes, with the item lengths they occur in
-        self.grams: dict[int, tuple[np.ndarray, list[set[int]]]] = {}
+        self.codes = [np.array([code[w] for w in ws], dtype=np.int32) for _, ws in split]
+        self.by_length: dict[int, np.ndarray] = {}
+        lengths = np.array([len(c) for c in self.codes], dtype=np.int64)
+        self.index = {}
+        for n in sorted(set(lengths.tolist())):
+            self.by_length[n] = np.flatnonzero(lengths == n)
+            fps = [window_fingerprints(np.array([_hash(g) for g in shingles(split[k][1])], dtype=np.uint64), max(n - SHINGLE + 1, 1))[0] for k in self.by_length[n].tolist()]
+            self.index[n] = HammingIndex(np.array(fps, dtype=np.uint64))
+        # shingles of each size as sorted keys, and the item lengths that they occur in: lengths[begin[g] : begin[g + 1]]
+        self.grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for size in {min(SHINGLE, n) for n in self.by_length}:
-            of = defaultdict(set)
-            for n, ks in self.by_length.items():
-                if min(SHINGLE, n) == size:
-                    for k in ks:
-                        for s in self.bags[k]:
-                            of[int(_mix(np.array([[code[w] for w in s]], dtype=np.uint64))[0])].add(n)
-            keys = np.array(sorted(of), dtype=np.uint64)
-            self.grams[size] = keys, [of[int(k)] for k in keys]
+            mine = [c for c in self.codes if min(SHINGLE, len(c)) == size]
+            keys = np.concatenate([_mix(np.lib.stride_tricks.sliding_window_view(c, size).astype(np.uint64)) for c in mine])
+            of = np.concatenate([np.full(len(c) - size + 1, len(c)) for c in mine])
+            order = np.lexsort((of, keys))
+            keys, of = keys[order], of[order]
+            new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])])
+            keys, of = keys[new], of[new]
+            distinct, begin = np.unique(keys, return_index=True)
+            self.grams[size] = distinct, np.append(begin, len(keys)), of
+
+    def bag(self, item: int) -> Counter:
+        c = self.codes[item].tolist()
+        return Counter(shingles(c))
 
     def matches(self, texts: pa.Array) -> dict[int, dict[int, tuple[float, int]]]:
         """row -> item number -> (best similarity, first word of the first such window)."""
         found: dict[int, dict[int, tuple[float, int]]] = {}
-        if not self.items:
+        if not self.ids:
             return found
         pieces = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
         values = pieces.values.filter(pc.not_equal(pieces.values, ""))
@@ -124,7 +157,7 @@ class Benchmark:
         codes = pc.fill_null(pc.index_in(values, value_set=self.vocabulary), -1).to_numpy().astype(np.int64)
         row = np.repeat(np.arange(len(texts)), np.diff(offsets))
         hits: dict[tuple[int, int], list[int]] = defaultdict(list)  # (row, item length) -> places of shared shingles
-        for size, (keys, lengths) in self.grams.items():
+        for size, (keys, begin, lengths) in self.grams.items():
             if len(codes) < size:
                 continue
             known = codes >= 0
@@ -135,19 +168,20 @@ class Benchmark:
             mixed = _mix(np.stack([codes[at + k] for k in range(size)], axis=1).astype(np.uint64))
             place = np.minimum(np.searchsorted(keys, mixed), len(keys) - 1)
             for p, g in zip(at[keys[place] == mixed].tolist(), place[keys[place] == mixed].tolist(), strict=True):
-                for n in lengths[g]:
+                for n in lengths[begin[g] : begin[g + 1]].tolist():
                     hits[int(row[p]), n].append(p - int(offsets[row[p]]))
-        cache: dict[int, list[str]] = {}
+        cache: dict[int, tuple[list[str], list[int]]] = {}
         for (r, n), places in hits.items():
             if r not in cache:
-                cache = {r: values[offsets[r] : offsets[r + 1]].to_pylist()}
-            for item, best in self._windows(cache[r], n, places).items():
+                cache = {r: (values[offsets[r] : offsets[r + 1]].to_pylist(), codes[offsets[r] : offsets[r + 1]].tolist())}
+            for item, best in self._windows(*cache[r], n, places).items():
                 old = found.setdefault(r, {}).get(item)
                 if old is None or (best[0], -best[1]) > (old[0], -old[1]):
                     found[r][item] = best
         return found
 
-    def _windows(self, ws: list[str], n: int, places: list[int]) -> dict[int, tuple[float, int]]:
+    def _windows(self, ws: list[str], codes: list[int], n: int, places: list[int]) -> dict[int, tuple[float, int]]:
+        """Item number -> (best similarity, first word) of the windows around places of shared shingles. Words that no item has are all one code."""
         length = min(n, len(ws))  # a document shorter than the item is one window
         size = min(SHINGLE, n)
         m = length - size + 1
@@ -155,17 +189,22 @@ class Benchmark:
             return {}
         starts = np.unique(np.clip((np.array(places)[:, None] - np.arange(m)[None, :]).ravel(), 0, len(ws) - length))
         best: dict[int, tuple[float, int]] = {}
+        bags: dict[int, Counter] = {}
         # runs of windows next to each other share their shingles
         for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
             lo, hi = int(run[0]), int(run[-1])
-            grams = [tuple(ws[i : i + size]) for i in range(lo, hi + m)]
-            fps = window_fingerprints(np.array([_hash(g) for g in grams], dtype=np.uint64), m)
-            for k in range(len(run)):
-                for near in self.index[n].find(int(fps[k])):
-                    item = self.by_length[n][near]
-                    s = similarity(Counter(grams[k : k + m]), self.bags[item])
-                    if s >= SIMILARITY and (item not in best or s > best[item][0]):
-                        best[item] = (s, lo + k)
+            hashes = np.array([_hash(tuple(ws[i : i + size])) for i in range(lo, hi + m)], dtype=np.uint64)
+            grams = [tuple(codes[i : i + size]) for i in range(lo, hi + m)]
+            held, at = Counter(), -1
+            for k, near in zip(*(x.tolist() for x in self.index[n].find_all(window_fingerprints(hashes, m))), strict=True):
+                item = int(self.by_length[n][near])
+                if item not in bags:
+                    bags[item] = self.bag(item)
+                if at != k:
+                    held, at = Counter(grams[k : k + m]), k
+                s = similarity(held, bags[item])
+                if s >= SIMILARITY and (item not in best or s > best[item][0]):
+                    best[item] = (s, lo + k)
         return best
 
 
@@ -180,11 +219,11 @@ def _mix(codes: np.ndarray) -> np.ndarray:
 
 
 def item_groups(benchmark: DataFrame, most: int = GROUP_WORDS):
-    """Lists of (item_id, text) of at most ``most`` words each; items without words are left out; rows stream to the driver."""
+    """Lists of distinct (item_id, text) of at most ``most`` words each, an item's texts together; items without words are left out; rows stream to the driver."""
     group, held = [], 0
-    for r in benchmark.select("item_id", "text").where("text IS NOT NULL").orderBy("item_id", "text").toLocalIterator():
+    for r in benchmark.select("item_id", "text").where("text IS NOT NULL").distinct().orderBy("item_id", "text").toLocalIterator():
         n = len(words(r.text))
-        if group and held + n > most:
+        if group and held + n > most and r.item_id != group[-1][0]:
             yield group
             group, held = [], 0
         if n:
@@ -194,22 +233,43 @@ def item_groups(benchmark: DataFrame, most: int = GROUP_WORDS):
         yield group
 
 
-def _searched(items):
+_BUILT: dict[str, Benchmark] = {}
+
+
+def _built(name: str, items) -> Benchmark:
+    """The group's index, made at a worker's first task of it; a worker keeps one."""
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = Benchmark(items)
+    return _BUILT[name]
+
+
+def _searched(items, item_kind: pa.DataType):
+    name = uuid.uuid4().hex
+
     def run(batches):
-        index = Benchmark(items)
+        index = _built(name, items)
         for b in slices(batches, "text"):
-            found = index.matches(b.column(1))
-            rows = [(b.column(0)[r].as_py(), index.items[k][0], at, s) for r, of in found.items() for k, (s, at) in sorted(of.items())]
+            rows = []
+            for r, of in index.matches(b.column(1)).items():
+                best: dict = {}  # of the texts of an item
+                for k, (s, at) in of.items():
+                    i = index.ids[k]
+                    if i not in best or (s, -at) > (best[i][0], -best[i][1]):
+                        best[i] = (s, at)
+                rows += [(b.column(0)[r].as_py(), i, at, s) for i, (s, at) in best.items()]
             if rows:
                 ids, item_ids, ats, sims = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, b.column(0).type), pa.array(item_ids, pa.int64()), pa.array(ats, pa.int64()), pa.array(sims, pa.float64())], names=["doc_id", "item_id", "first_word", "similarity"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, b.column(0).type), pa.array(item_ids, item_kind), pa.array(ats, pa.int64()), pa.array(sims, pa.float64())], names=["doc_id", "item_id", "first_word", "similarity"])
 
     return run
 
 
 def _cleaned(items):
+    name = uuid.uuid4().hex
+
     def run(batches):
-        index = Benchmark(items)
+        index = _built(name, items)
         for b in slices(batches, "text"):
             keep = np.ones(b.num_rows, dtype=bool)
             keep[list(index.matches(b.column(b.schema.get_field_index("text"))))] = False
@@ -222,17 +282,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Returns doc_id, item_id, first_word, similarity: a row for each document and item with a window of similarity 0.8 or more.
 
     The window with the largest similarity is told, the first of equals (words from 0). Null, empty and blank texts match nothing; null ids
-    and repeated rows give rows of their own; a document shorter than an item is compared as one window; empty tables give an empty table;
-    other columns are ignored.
+    and repeated documents give rows of their own; repeated items count once, and of an item's several texts the nearest counts; a document shorter than an
+    item is compared as one window; very long texts are searched whole; empty tables give an empty table; other columns are ignored.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id long, first_word long, similarity double"
-    found = [arrow(docs.select("doc_id", "text"), _searched(g), schema) for g in item_groups(benchmark)]
+    kind, item = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType
+    schema = f"doc_id {kind}, item_id {item.simpleString()}, first_word long, similarity double"
+    found = [arrow(docs.select("doc_id", "text"), _searched(g, to_arrow_type(item)), schema) for g in item_groups(benchmark)]
     return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], schema)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a match in ``contaminated``, with all their columns."""
+    """The rows of ``docs`` without a match in ``contaminated``, with all their columns; nulls, ties, long texts and empty tables as there."""
     for g in item_groups(benchmark):
         docs = arrow(docs, _cleaned(g), docs.schema)
     return docs

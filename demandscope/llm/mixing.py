@@ -25,6 +25,7 @@ SEED = "mix"
 RANGES_HEX = 4  # 16**4 ranges of the shuffle hash
 TIME_RANGES = 1024  # ranges of virtual time at a level of the search for the cut
 SORTED_WORDS = 100_000  # so many words are sorted one by one
+FEW_SOURCES = 100_000  # a row for each of so many is sent to all tasks; more are joined by their number
 TOGETHER = 1 << 16  # rows made at once of a counted one
 
 
@@ -129,6 +130,13 @@ def _served(queue: DataFrame, max_epochs: int) -> DataFrame:
     return every.join(first, "rank", "left").select(F.col("rank").alias("s_rank"), (F.col("have") + F.coalesce("more", F.lit(0))).alias("upto"))
 
 
+def _with_cut(queue: DataFrame, max_epochs: int) -> DataFrame:
+    """``queue`` with upto. A source may hold a third of all rows, so what is known of a source goes to the rows where sources are few."""
+    served = _served(queue, max_epochs)
+    few = (queue.agg(F.max("rank")).first()[0] or 0) <= FEW_SOURCES
+    return queue.join(F.broadcast(served) if few else served, F.col("rank") == F.col("s_rank"))
+
+
 def _numbered(df: DataFrame, n: Column, name: str) -> DataFrame:
     """A row for each number from 0 to n - 1, in two steps so that a count of any size makes no array of its size."""
     runs = F.when(n > 0, F.sequence(F.lit(0).cast("long"), F.floor((F.greatest(n, F.lit(1)) - 1) / TOGETHER)))
@@ -146,7 +154,7 @@ def mix(docs: DataFrame, weights=(5, 2, 1), budget_percent: int = 150, max_epoch
     are ignored.
     """
     queue = _queued(docs, weights, budget_percent, max_epochs)
-    rows = _numbered(queue.join(_served(queue, max_epochs), F.col("rank") == F.col("s_rank")), F.col("n"), "copy")
+    rows = _numbered(_with_cut(queue, max_epochs), F.col("n"), "copy")
     end = F.col("cum") - F.col("size") * (F.col("n") - 1 - F.col("copy"))
     part = lambda e: F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("upto") - (end - F.col("size") + F.col("source_size") * e)))
     finish = F.when(F.col("target") > 0, F.try_divide(end, F.col("target")))
@@ -160,8 +168,7 @@ def take(docs: DataFrame, weights=(5, 2, 1), budget_percent: int = 150, max_epoc
     with their place in the queue. Of rows that agree in id, source and text one stands for all, as often as they are taken together. Nulls, empty and long
     texts and empty tables are as in ``mix``; clashing column names are no matter.
     """
-    queue = _queued(docs, weights, budget_percent, max_epochs)
-    queue = queue.join(_served(queue, max_epochs), F.col("rank") == F.col("s_rank"))
+    queue = _with_cut(_queued(docs, weights, budget_percent, max_epochs), max_epochs)
     start = lambda e: F.col("cum") - F.col("size") * F.col("n") + F.col("source_size") * e
     # copy i of a pass is half served if start + (i + 1/2) size <= upto
     half = lambda e: F.when(F.col("size") > 0, F.floor((2 * (F.col("upto") - start(e)) + F.col("size")) / (2 * F.col("size")))).when(start(e) <= F.col("upto"), F.col("n")).otherwise(0)

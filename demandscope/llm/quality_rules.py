@@ -57,7 +57,8 @@ def quality_rules(docs: DataFrame, max_lost_percent: int = 50, min_words: int =
     """Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, lost_chars, clean_text.
 
     Null and empty texts have no words: they fail the base, aren't kept, and their clean_text is empty. Repeated rows and null ids get a row
-    each; other columns are ignored; an empty table gives an empty table. clean_text has the lines that passed, in order.
+    each; other columns are ignored; an empty table gives an empty table; very long texts are taken whole, in time proportional to their length but for one
+    sort of their windows. clean_text has the lines that passed, in order.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.split(text, "\n")
@@ -79,7 +80,9 @@ def quality_rules(docs: DataFrame, max_lost_percent: int = 50, min_words: int =
 
 
 def op1_quality_rules(spark, sf_dir):
-    return quality_rules(table(spark, sf_dir, "documents")).drop("clean_text")
+    """The figures, and the text without its failing lines as ``clean_md5``."""
+    out = quality_rules(table(spark, sf_dir, "documents"))
+    return out.withColumn("clean_md5", F.md5(F.col("clean_text").cast("binary"))).drop("clean_text")
 
 
 SQL = r"""
@@ -90,16 +93,17 @@ g AS (SELECT r, i, CASE WHEN lead(i, 4) OVER o IS NOT NULL THEN concat_ws(' ', w
 h AS (SELECT r, i, gram IS NOT NULL AND count(*) OVER (PARTITION BY r, gram) > 1 AS hit FROM g),
 c AS (SELECT r, i, max(hit::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS covered FROM h),
 n AS (SELECT r, count(*) AS n_words, sum(covered) AS n_repeat_words FROM c GROUP BY r),
-x AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
-y AS (SELECT r, line, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
+x AS (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
+y AS (SELECT r, pos, line, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
              length(regexp_replace(line, '[^\p{L}\p{N}]+', '', 'g')) AS letters,
              len(regexp_extract_all(line, '[!?#*$%&=~_^]{2,}')) AS runs, len(regexp_extract_all(line, '[|»›•·]')) AS seps,
              regexp_matches(line, '(?i)(all rights reserved|privacy policy|cookie policy|terms of (use|service)|click here|sign (up|in) |log ?in |subscribe (now|to)|share this|powered by|enable javascript|lorem ipsum)') AS stock FROM x),
 z AS (SELECT r, sum(chars) AS word_chars, count(line) FILTER (WHERE chars > 0) - count(DISTINCT line) FILTER (WHERE chars > 0) AS n_dup_lines,
+             md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT ((chars - letters) * 100 > chars * 25 OR runs > 2 OR seps > 2 OR stock)), '')) AS clean_md5,
              coalesce(sum(chars) FILTER (WHERE (chars - letters) * 100 > chars * 25 OR runs > 2 OR seps > 2 OR stock), 0) AS lost_chars FROM y GROUP BY r),
 o AS (SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, word_chars::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
-             n_dup_lines::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, lost_chars::BIGINT AS lost_chars
+             n_dup_lines::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, lost_chars::BIGINT AS lost_chars, clean_md5
       FROM d LEFT JOIN n USING (r) JOIN z USING (r)),
 p AS (SELECT *, (n_words < 10 OR n_repeat_words * 100 > n_words * 20) AS base_failed FROM o)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, (NOT base_failed AND lost_chars * 100 <= word_chars * 50) AS kept, lost_chars FROM p
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, (NOT base_failed AND lost_chars * 100 <= word_chars * 50) AS kept, lost_chars, clean_md5 FROM p
 """

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, materialize, slices, table
+from .common import arrow, finished, made, materialize, slices, table
 from .components import components
 
 SHINGLE = 3
@@ -216,11 +216,12 @@ def links(fps: DataFrame) -> DataFrame:
 
 def group(prints: DataFrame) -> DataFrame:
     """(fp, component_id) of every distinct fingerprint of a materialized (doc_id, fp, ...): the smallest doc_id reachable."""
+    begun = made()
     firsts = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     tied = components(links(firsts.select("fp")), "simhash-components")
     roots = firsts.join(tied.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     ids = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    return roots.join(ids, "root").select("fp", "root", "component_id")
+    return finished(roots.join(ids, "root").select("fp", "root", "component_id"), "simhash-groups", begun)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 A text's pre-tokens (words) are segmented into vocabulary pieces so that the sum of their unigram scores is largest, and the pieces are counted. The best
 score of a prefix doesn't depend on what follows, so distinct pre-tokens go into a trie: the forward step is done once for each node,
-and the nodes where pre-tokens end hold their counts. The trie lives for a slice of texts; counts of pre-tokens are kept over slices in
-a bounded table.
+and the nodes where pre-tokens end hold their counts. The trie lives for a slice of texts and has a bounded number of nodes; counts of short pre-tokens are
+kept over slices in a bounded table. A pre-token longer than a whole trie shares no prefix worth keeping: its scores are rolled along, with only those of
+the longest piece's length kept.
 
 Unigram scores come from the vocabulary's own order (Zipf's law: the logarithm of the share falls with the logarithm of the rank); nothing is
 trained. Characters that no piece covers count as their UTF-8 bytes.
@@ -23,7 +24,9 @@ from .common import arrow, slices, table
 
 VOCABULARY = "piece_bpe_32k.model"
 START = "▁"  # the vocabulary's sign for the start of a word
-CACHED = 500_000
+CACHED = 300_000  # pre-tokens whose counts a worker keeps
+SHORT = 64  # characters of those at most
+NODES = 100_000  # of a trie at most; a full one makes way for a new one
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -86,6 +89,29 @@ class Trie:
         return tokens[node]
 
 
+    def full(self) -> bool:
+        return len(self.children) > NODES
+
+
+def rolled(word: str, model: Unigram) -> int:
+    """The same number of tokens for a word of any length, in memory of the longest piece."""
+    scores, longest = model.scores, model.longest
+    best, tokens = [0.0] * (longest + 1), [0] * (longest + 1)
+    size = longest + 1
+    for end in range(1, len(word) + 1):
+        bytes_ = len(word[end - 1].encode("utf-8", "surrogatepass"))
+        at = (end - 1) % size
+        value, n = best[at] + bytes_ * model.byte, tokens[at] + bytes_
+        for start in range(max(0, end - longest), end):
+            s = scores.get(word[start:end])
+            if s is not None:
+                v, k = best[start % size] + s, tokens[start % size] + 1
+                if v > value or (v == value and k < n):
+                    value, n = v, k
+        best[end % size], tokens[end % size] = value, n
+    return tokens[len(word) % size]
+
+
 _KNOWN: dict[str, dict[str, int]] = {}
 
 
@@ -97,11 +123,18 @@ def count_tokens(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     coded = pieces.values.dictionary_encode()
     words = coded.dictionary.to_pylist()
-    trie = Trie(unigram(path))
+    model = unigram(path)
+    trie, counts = Trie(model), []
     for w in words:
-        if w not in known:
-            known[w] = trie.insert(START + w) if w else 0
-    of = np.array([known[w] for w in words], dtype=np.int64)
+        n = known.get(w)
+        if n is None:
+            if trie.full():
+                trie = Trie(model)
+            n = 0 if not w else trie.insert(START + w) if len(w) < NODES else rolled(START + w, model)
+            if len(w) <= SHORT:
+                known[w] = n
+        counts.append(n)
+    of = np.array(counts, dtype=np.int64)
     real = np.array([w != "" for w in words], dtype=np.int64)
     code = coded.indices.to_numpy()
     run = lambda x: np.concatenate([[0], np.cumsum(x[code] if len(words) else np.zeros(0, np.int64))])

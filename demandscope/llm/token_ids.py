@@ -24,12 +24,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow, materialize, release, shared_dir, slices, table
+from .common import arrow, keep_until_exit, materialize, release, shared_dir, slices, table
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_IDS = 1 << 18
-CACHED = 500_000
+CACHED_BYTES = 48 << 20  # of a worker's cached pieces and their ids
 #: Which of the 4 x 4 bytes of a group of four ids are present, for each control byte.
 PRESENT = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3)[:, :, None] >= np.arange(4)
 
@@ -53,7 +53,10 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 class PieceEncoder:
-    """Ids of many texts through a cache of pieces between white space; keeps at most ``CACHED`` pieces."""
+    """Ids of many texts through a cache of pieces between white space.
+
+    Between slices the cache is emptied once it holds over ``CACHED_BYTES``, whatever the length of its pieces; inside, it grows by what one slice adds.
+    """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,7 +70,7 @@ class PieceEncoder:
         self.clear()
 
     def clear(self):
-        self.known = pa.array([], pa.string())  # pieces; starts and counts of their ids in flat stand at the same places
+        self.known = pa.array([], pa.large_string())  # pieces; starts and counts of their ids in flat stand at the same places
         self.starts = self.counts = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.uint32)
 
@@ -90,13 +93,13 @@ class PieceEncoder:
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(n) - n])
         self.counts = np.concatenate([self.counts, n])
         self.flat = np.concatenate([self.flat, *ids])
-        self.known = pa.concat_arrays([self.known, pa.array(plain + odd, pa.string())])
+        self.known = pa.concat_arrays([self.known, pa.array(plain + odd, pa.large_string())])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per text); a null text has none."""
-        if len(self.known) > CACHED:
+        if self.known.nbytes + self.starts.nbytes + self.counts.nbytes + self.flat.nbytes > CACHED_BYTES:
             self.clear()
-        texts = pc.fill_null(texts, "")
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
         if not self.mark or not pc.any(pc.match_substring(texts, self.opening)).as_py():
             texts = pc.ascii_lower(texts) if self._lowers() else texts
         pieces = pc.ascii_split_whitespace(texts)
@@ -129,8 +132,6 @@ def encoder(vocabulary: str) -> PieceEncoder:
     return _ENCODERS[vocabulary]
 
 
-BLOCKS = "part int, block int, doc_ids array<long>, lengths array<long>, ids binary"
-
 
 def _tokenized(vocabulary: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,15 +140,17 @@ def _tokenized(vocabulary: str, end_id: int):
         enc, part, block = encoder(vocabulary), TaskContext.get().partitionId(), 0
         kind = "<u2" if max(enc.size, end_id + 1) <= 1 << 16 else "<u4"
         docs, lengths, held = [], [], []
+        kinds: list[pa.DataType] = []  # of the ids
 
         def out():
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([docs], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())), pa.array([np.concatenate(held).tobytes()], pa.binary())],
+                [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([docs], pa.list_(kinds[0])), pa.array([lengths], pa.list_(pa.int64())), pa.array([np.concatenate(held).tobytes()], pa.binary())],
                 names=["part", "block", "doc_ids", "lengths", "ids"],
             )
 
         total = 0
         for b in slices(batches, "text"):
+            kinds[:] = [b.column(0).type]
             ids, counts = enc.encode(b.column(1))
             ends = np.cumsum(counts)
             all_ids = np.insert(ids, ends, end_id).astype(kind)
@@ -210,14 +213,15 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID)
     width = 2 if max(encoder(vocabulary).size, end_id + 1) <= 1 << 16 else 4
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
-    tokens = materialize(arrow(ordered, _tokenized(vocabulary, end_id), BLOCKS), "token-ids")
+    head = f"part int, block int, doc_ids array<{docs.schema['doc_id'].dataType.simpleString()}>, lengths array<long>"
+    tokens = materialize(arrow(ordered, _tokenized(vocabulary, end_id), f"{head}, ids binary"), "token-ids")
     counts = arrow(tokens.select("ids"), _counted(width), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     found = counts.collect()  # at most one row for each id of the vocabulary
     ranked = sorted(((r.id, r.n) for r in found), key=lambda x: (-x[1], x[0]))
     spark.createDataFrame([(k, i, n) for k, (i, n) in enumerate(ranked)], "rank long, id long, count long").coalesce(1).write.parquet(f"{path}/ranks")
     rank_of = np.zeros(max([i for i, _ in ranked], default=0) + 1, dtype=np.uint32)
     rank_of[[i for i, _ in ranked]] = np.arange(len(ranked), dtype=np.uint32)
-    arrow(tokens, _encoded(rank_of, width), "part int, block int, doc_ids array<long>, lengths array<long>, control binary, data binary").write.option("compression", "none").parquet(f"{path}/blocks")
+    arrow(tokens, _encoded(rank_of, width), f"{head}, control binary, data binary").write.option("compression", "none").parquet(f"{path}/blocks")
     release(tokens)
     return path
 
@@ -232,7 +236,7 @@ def _decoded(id_of: np.ndarray, with_ids: bool):
                 raw = memoryview(ids.astype("<u4").view(np.uint8))
                 crcs = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
                 n = len(lengths)
-                cols = [pa.array([b.column(0)[k].as_py()] * n, pa.int32()), pa.array([b.column(1)[k].as_py()] * n, pa.int32()), pa.array(b.column(2)[k].as_py(), pa.int64()), pa.array(ends - lengths), pa.array(lengths), pa.array(crcs, pa.int64())]
+                cols = [pa.array([b.column(0)[k].as_py()] * n, pa.int32()), pa.array([b.column(1)[k].as_py()] * n, pa.int32()), b.column(2)[k].values, pa.array(ends - lengths), pa.array(lengths), pa.array(crcs, pa.int64())]
                 names = ["part", "block", "doc_id", "inside", "n_tokens", "ids_crc32"]
                 if with_ids:
                     cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int64))))
@@ -243,19 +247,24 @@ def _decoded(id_of: np.ndarray, with_ids: bool):
 
 
 def read_ids(spark, path: str, with_ids: bool = False) -> DataFrame:
-    """Reads files of ``write_ids``: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, and the ids if asked for."""
+    """Reads files of ``write_ids``: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, and the ids if asked for.
+
+    A row for each document that was written, null ids and repeated rows included; files of an empty table give no rows; a very long
+    document is one row, decoded with its block.
+    """
     ranks = spark.read.schema("rank long, id long, count long").parquet(f"{path}/ranks").collect()  # bounded by the vocabulary
     id_of = np.zeros(len(ranks), dtype=np.uint32)
     for r in ranks:
         id_of[r.rank] = r.id
-    blocks = spark.read.schema("part int, block int, doc_ids array<long>, lengths array<long>, control binary, data binary").parquet(f"{path}/blocks")
+    blocks = spark.read.parquet(f"{path}/blocks")
+    kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     sizes = blocks.select("part", "block", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b).alias("n"))
     parts = sizes.groupBy("part").agg(F.sum("n").alias("n"))  # a row for each task of the writer
     earlier = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
     inside = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(earlier, "part").select("part", "block", (F.col("before") + F.col("earlier")).alias("offset"))
     extra = ", ids array<long>" if with_ids else ""
-    docs = arrow(blocks, _decoded(id_of, with_ids), f"part int, block int, doc_id long, inside long, n_tokens long, ids_crc32 long{extra}")
+    docs = arrow(blocks, _decoded(id_of, with_ids), f"part int, block int, doc_id {kind}, inside long, n_tokens long, ids_crc32 long{extra}")
     return docs.join(offsets, ["part", "block"]).select("doc_id", (F.col("offset") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
 
 
@@ -266,9 +275,11 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 def encode_and_read(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """``write_ids`` to a new folder of the shared place, then ``read_ids``."""
+    """``write_ids`` to a new folder of the shared place, kept until the driver ends, then ``read_ids``; nulls, ties and empty tables as there."""
     spark = docs.sparkSession
-    return read_ids(spark, write_ids(docs, f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}", vocabulary or vocabulary_path(), end_id))
+    path = write_ids(docs, f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}", vocabulary or vocabulary_path(), end_id)
+    keep_until_exit(spark, path)
+    return read_ids(spark, path)
 
 
 def op3_token_ids(spark, sf_dir):

@@ -5,7 +5,7 @@ from collections import Counter
 import corpus_pipeline
 import pytest
 from corpora import BENCH, PAGES, benchmark, documents, empty, rows
-from demandscope.llm import decontaminate, html_extract, licenses, mixing, pii, quality_classifier, quality_rules, simhash_dedup, token_counts, token_ids
+from demandscope.llm import common, decontaminate, html_extract, licenses, mixing, pii, quality_classifier, quality_rules, simhash_dedup, token_counts, token_ids
 
 ROWWISE = {
     "rules": quality_rules.quality_rules, "pii": pii.find_pii, "ids": token_ids.encode_and_read, "counts": token_counts.token_counts, "licences": licenses.scan_licenses,
@@ -48,13 +48,23 @@ def test_pipeline_stages_on_awkward_and_empty_tables(spark, tmp_path):
     for docs in (documents(spark), empty(spark)):
         columns = docs.columns
         for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
-            docs = corpus_pipeline.materialize(stage(spark, docs, sf), f"test-{k}")
+            docs = common.materialize(stage(spark, docs, sf), f"test-{k}")
             docs.collect()
             if k + 1 < len(corpus_pipeline.STAGES):
                 assert docs.columns == columns, name
         assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
 
 
+def test_the_pipeline_leaves_only_what_its_rows_are_read_from(spark, tmp_path):
+    sf = str(tmp_path)
+    benchmark(spark).write.parquet(f"{sf}/benchmark.parquet")
+    documents(spark).write.parquet(f"{sf}/documents.parquet")
+    before = common.made()
+    assert corpus_pipeline.run(spark, sf).count() > 0
+    left = [p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in common._MADE[before:]]
+    assert left == ["source-mix", "ids"]
+
+
 def test_filtering_stages_keep_clean_documents(spark):
     kept = {r.doc_id for r in quality_classifier.keep_good(documents(spark)).select("doc_id").collect()}
     assert {1, 2, 3, 7, 8, 9, 11, 15, 16, 17, 20} <= kept
