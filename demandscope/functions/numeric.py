@@ -6,9 +6,9 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, FloatType
 
 
 def round_half_even(c: Column, digits: int = 2) -> Column:
@@ -37,13 +37,39 @@ def share(condition: Column) -> Column:
     return F.avg(F.when(F.coalesce(condition, F.lit(False)), F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
-def count_true(condition: Column) -> Column:
-    return F.count_if(F.coalesce(condition, F.lit(False)))
+#: Digits of a sum after the point: the order of additions doesn't reach so far, so equal sums compare as equal.
+SUM_DIGITS = 6
 
 
-def exact_sum(c: Column) -> Column:
-    """Aggregate: sum of money or quantities that doesn't depend on row order, 0.0 where all are missing."""
-    return F.coalesce(F.sum(c.cast("decimal(18,2)")).cast("double"), F.lit(0.0))
+def number(c: Column | str) -> Column:
+    """A column as a double, NaN being missing: else it would be above every number in comparisons and spoil every sum."""
+    return nan_to_null((F.col(c) if isinstance(c, str) else c).cast("double"))
+
+
+def missing(c: Column | str) -> Column:
+    """Null or NaN."""
+    c = F.col(c) if isinstance(c, str) else c
+    return c.isNull() | F.coalesce(F.isnan(c.cast("double")), F.lit(False))
+
+
+def total(c: Column) -> Column:
+    """Aggregate: sum of doubles, rounded once at the end; missing values and NaN are skipped, 0.0 where there is none."""
+    return F.coalesce(F.round(F.sum(number(c)), SUM_DIGITS), F.lit(0.0))
+
+
+def equal_total(c: Column) -> Column:
+    """Aggregate: sum for comparison with other sums, as decimals of as many digits, which add up exactly in any order."""
+    return F.sum(number(c).cast(f"decimal(38,{SUM_DIGITS})"))
+
+
+def mean(c: Column) -> Column:
+    """Aggregate: ``total`` over the count; null where there is none."""
+    return ratio(total(c), F.count(number(c)))
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """``df`` with NaN of all its floating columns as null."""
+    return df.withColumns({f.name: nan_to_null(F.col(f.name)) for f in df.schema if isinstance(f.dataType, DoubleType | FloatType)})
 
 
 def skewness_corrected(c: Column) -> Column:

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import clip, exact_sum, ratio, round_half_even
+from ..functions.numeric import clip, mean, ratio, round_half_even, total
+from ..session import once
 
 BUDGET, RESPONSE, TARGET_MONTH, STEEPEST = 5_000_000.0, 0.0005, 1, 50.0
 RANGES = 64  # of a factor of e
@@ -23,17 +24,15 @@ def in_province(transactions: DataFrame, code: str = "W") -> DataFrame:
 
 def baselines(transactions: DataFrame, month: int = TARGET_MONTH) -> DataFrame:
     """Y_historical: mean over years of the target month's volume, else mean of all months; 0 if there are none."""
-    months = transactions.groupBy("Outlet_ID", "Year", "Month").agg(exact_sum(F.col("Volume_Liters")).alias("v"))
-    v, target = F.col("v").cast("decimal(18,2)"), F.col("Month") == month
-    mean = lambda c: ratio(F.sum(c).cast("double"), F.count(c))
-    own = mean(F.when(target, v))
-    return months.groupBy("Outlet_ID").agg(F.coalesce(own, mean(v), F.lit(0.0)).alias("Y_historical"))
+    months = transactions.groupBy("Outlet_ID", "Year", "Month").agg(total(F.col("Volume_Liters")).alias("v"))
+    own = mean(F.when(F.col("Month") == month, F.col("v")))
+    return months.groupBy("Outlet_ID").agg(F.coalesce(own, mean(F.col("v")), F.lit(0.0)).alias("Y_historical"))
 
 
 def prices(transactions: DataFrame) -> DataFrame:
     """Price_Per_Liter: sum of bills over sum of volumes, the overall price where an outlet has no volume."""
-    own = transactions.groupBy("Outlet_ID").agg(exact_sum(F.col("Total_Bill_Value")).alias("bill"), exact_sum(F.col("Volume_Liters")).alias("vol"))
-    every = own.agg(ratio(F.sum(F.col("bill").cast("decimal(18,2)")), F.sum(F.col("vol").cast("decimal(18,2)"))).alias("every"))
+    own = transactions.groupBy("Outlet_ID").agg(total(F.col("Total_Bill_Value")).alias("bill"), total(F.col("Volume_Liters")).alias("vol"))
+    every = own.agg(ratio(total(F.col("bill")), total(F.col("vol"))).alias("every"))
     return own.crossJoin(F.broadcast(every)).select("Outlet_ID", F.coalesce(ratio(F.col("bill"), F.col("vol")), F.col("every")).alias("Price_Per_Liter"))  # a single row
 
 
@@ -60,7 +59,8 @@ def water_level(rows: DataFrame, budget: float, b: float) -> DataFrame:
     start = under.select(F.coalesce("last", F.lit(-(10**9)).cast("long")).alias("last"), F.coalesce("s0", F.lit(0.0)).alias("s0"), F.coalesce("i0", F.lit(0.0)).alias("i0"))
     cut = ranges.crossJoin(F.broadcast(start)).where(F.col("range") > F.col("last")).groupBy("s0", "i0").agg(F.min("range").alias("cut"))
     inside = events.join(F.broadcast(cut), F.col("range") == F.col("cut"))  # a single row
-    order = Window.orderBy("mu").rangeBetween(Window.unboundedPreceding, 0)  # equal breakpoints are one
+    inside = inside.groupBy("s0", "i0", "mu").agg(F.sum("slope").alias("slope"), F.sum("shift").alias("shift"))  # equal breakpoints are one: small outlets share theirs
+    order = Window.orderBy("mu").rowsBetween(Window.unboundedPreceding, 0)
     inside = inside.withColumns({"s": F.col("s0") + F.sum("slope").over(order), "i": F.col("i0") + F.sum("shift").over(order)})
     inside = inside.where(F.col("s") * F.col("mu") + F.col("i") <= budget).agg(F.max_by(F.struct("s", "i"), "mu").alias("in"))
     at = start.crossJoin(inside).select(F.coalesce("in.s", "s0").alias("s"), F.coalesce("in.i", "i0").alias("i"))  # a row each
@@ -83,23 +83,22 @@ def spend_allocation(transactions: DataFrame, predictions: DataFrame, budget: fl
     """Allocation over the outlets of a province."""
     own = in_province(transactions, code)
     history = baselines(own, month).join(prices(own), "Outlet_ID")
-    return allocate(problem(history, predictions, b), budget, b)
+    return allocate(once(problem(history, predictions, b)), budget, b)  # the search for the level reads the rows several times
 
 
 def spend_by(allocated: DataFrame, column: str, label: str | None = None) -> DataFrame:
     """Outlets, active outlets, spend, share of spend, lift and return by a dimension; a missing value has no group."""
-    money = lambda c: F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
+    money = lambda c: total(F.col(c))
     groups = allocated.where(F.col(column).isNotNull()).groupBy(F.col(column).alias(label or column)).agg(
         F.count("Outlet_ID").alias("outlets"), F.count_if(F.col("Trade_Spend_Allocation_LKR") > 0.01).alias("active_outlets"), money("Trade_Spend_Allocation_LKR").alias("total_spend"), money("Volume_Lift_Liters").alias("total_lift"),
     )
-    total = allocated.agg(money("Trade_Spend_Allocation_LKR").alias("__all"))
-    joined = groups.crossJoin(F.broadcast(total))  # a single row
+    every = allocated.agg(money("Trade_Spend_Allocation_LKR").alias("__all"))
+    joined = groups.crossJoin(F.broadcast(every))  # a single row
     return joined.withColumns({"spend_share": F.coalesce(ratio(F.col("total_spend"), F.col("__all")) * 100, F.lit(0.0)), "roi": F.coalesce(ratio(F.col("total_lift"), F.col("total_spend")), F.lit(0.0))}).drop("__all")
 
 
 def allocation_summary(allocated: DataFrame, budget: float = BUDGET) -> DataFrame:
     """One row: spend, lift, return, active outlets, and outlets at their ceiling within a relative 1e-3."""
     x, u = F.col("Trade_Spend_Allocation_LKR"), F.col("U")
-    money = lambda c: F.coalesce(F.sum(c.cast("decimal(18,2)")).cast("double"), F.lit(0.0))
-    s = allocated.agg(F.count("*").alias("outlets"), money(x).alias("allocated"), money(F.col("Volume_Lift_Liters")).alias("lift"), F.count_if(x > 0.01).alias("active_outlets"), F.count_if(F.abs(x - u) <= F.lit(1e-8) + F.lit(1e-3) * F.abs(u)).alias("ceiling_outlets"))
+    s = allocated.agg(F.count("*").alias("outlets"), total(x).alias("allocated"), total(F.col("Volume_Lift_Liters")).alias("lift"), F.count_if(x > 0.01).alias("active_outlets"), F.count_if(F.abs(x - u) <= F.lit(1e-8) + F.lit(1e-3) * F.abs(u)).alias("ceiling_outlets"))
     return s.withColumns({"budget": F.lit(budget), "roi": F.coalesce(ratio(F.col("lift"), F.col("allocated")), F.lit(0.0))})

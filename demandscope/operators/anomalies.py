@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import ratio
+from ..functions.numeric import equal_total, number, ratio, total
 
 MAGIC = (9999, 1111, 1234, 0, -1)
 MONTH = ("Year", "Month")
@@ -24,13 +24,13 @@ def _repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def negative_quantities(df: DataFrame, column: str = "Volume_Liters") -> DataFrame:
-    return df.where(F.col(column) < 0)
+    return df.where(number(column) < 0)
 
 
 def impossible_spikes(df: DataFrame, column: str = "Total_Bill_Value", threshold_z: float = 3.0) -> DataFrame:
     """Rows above the mean plus ``threshold_z`` deviations of all rows; the two statistics are one row, joined to all."""
-    stats = df.agg((F.avg(column) + F.lit(threshold_z) * F.stddev_samp(column)).alias("__limit"))
-    return df.crossJoin(F.broadcast(stats)).where(F.col(column) > F.col("__limit")).drop("__limit")  # a single row
+    stats = df.agg((F.avg(number(column)) + F.lit(threshold_z) * F.stddev_samp(number(column))).alias("__limit"))
+    return df.crossJoin(F.broadcast(stats)).where(number(column) > F.col("__limit")).drop("__limit")  # a single row
 
 
 def duplicate_invoices(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
@@ -55,12 +55,12 @@ def duplicate_gps(coordinates: DataFrame) -> DataFrame:
 
 
 def invalid_coordinates(coordinates: DataFrame) -> DataFrame:
-    return coordinates.where((F.abs("Latitude") > 90) | (F.abs("Longitude") > 180))
+    return coordinates.where((F.abs(number("Latitude")) > 90) | (F.abs(number("Longitude")) > 180))
 
 
 def outlets_in_ocean(coordinates: DataFrame, lat=(5.9, 9.9), lon=(79.6, 81.9)) -> DataFrame:
     """Outside the bounding box; missing coordinates count as outside."""
-    inside = F.col("Latitude").between(*lat) & F.col("Longitude").between(*lon)
+    inside = number("Latitude").between(*lat) & number("Longitude").between(*lon)
     return coordinates.where(~F.coalesce(inside, F.lit(False)))
 
 
@@ -70,29 +70,25 @@ def inactive_outlets(master: DataFrame, transactions: DataFrame) -> DataFrame:
 
 def extreme_volatility(transactions: DataFrame, column: str = "Total_Bill_Value", limit: float = 2.0) -> DataFrame:
     """Transactions of outlets whose coefficient of variation is above the limit."""
-    wild = transactions.groupBy("Outlet_ID").agg(ratio(F.stddev_samp(column), F.avg(column)).alias("__cv")).where(F.col("__cv") > limit)
+    wild = transactions.groupBy("Outlet_ID").agg(ratio(F.stddev_samp(number(column)), F.avg(number(column))).alias("__cv")).where(F.col("__cv") > limit)
     return transactions.join(wild, "Outlet_ID", "left_semi")
 
 
-def _exact(column: str):
-    return F.sum(F.col(column).cast("decimal(18,2)"))
-
-
 def delivery_caps(transactions: DataFrame, column: str = "Volume_Liters") -> DataFrame:
     """Distributor months with a sum that another month of the distributor has too. Sums are decimals, so equality is exact."""
-    months = transactions.groupBy("Distributor_ID", *MONTH).agg(_exact(column).alias("total"))
+    months = transactions.groupBy("Distributor_ID", *MONTH).agg(equal_total(F.col(column)).alias("total"))
     return _repeated(months, ["Distributor_ID", "total"]).withColumn("total", F.col("total").cast("double"))
 
 
 def round_numbers(transactions: DataFrame, column: str = "Total_Bill_Value", divisor: float = 1000) -> DataFrame:
-    return transactions.where(F.col(column) % divisor == 0)
+    return transactions.where(number(column) % divisor == 0)
 
 
 def monthly_ceilings(transactions: DataFrame, column: str = "Total_Bill_Value") -> DataFrame:
-    """Transactions of outlets that reach their largest monthly sum more than once."""
-    months = transactions.groupBy("Outlet_ID", *MONTH).agg(_exact(column).alias("total"))
-    capped = months.groupBy("Outlet_ID", "total").agg(F.count("*").alias("n")).groupBy("Outlet_ID").agg(F.max_by("n", "total").alias("n")).where("n > 1")
-    return transactions.join(capped, "Outlet_ID", "left_semi")
+    """All months (Distributor_ID, Year, Month, total) of distributors that reach their largest monthly sum more than once. Rows without a key are left out."""
+    months = transactions.dropna(subset=["Distributor_ID", *MONTH]).groupBy("Distributor_ID", *MONTH).agg(F.coalesce(equal_total(F.col(column)), F.lit(0)).alias("total"))
+    capped = months.groupBy("Distributor_ID", "total").agg(F.count("*").alias("n")).groupBy("Distributor_ID").agg(F.max_by("n", "total").alias("n")).where("n > 1")
+    return months.join(capped, "Distributor_ID", "left_semi").withColumn("total", F.col("total").cast("double"))
 
 
 def id_noise(df: DataFrame, column: str) -> DataFrame:
@@ -104,7 +100,7 @@ def id_noise(df: DataFrame, column: str) -> DataFrame:
 
 def ghost_entries(transactions: DataFrame, column: str = "Total_Bill_Value", limit: float = 1.0) -> DataFrame:
     """Outlets whose sum is below the limit."""
-    return transactions.groupBy("Outlet_ID").agg(F.coalesce(_exact(column).cast("double"), F.lit(0.0)).alias("total")).where(F.col("total") < limit)
+    return transactions.groupBy("Outlet_ID").agg(total(F.col(column)).alias("total")).where(F.col("total") < limit)
 
 
 def batch_writes(transactions: DataFrame, keys: Sequence[str] = ("Distributor_ID", "Year", "Month", "Total_Bill_Value"), limit: int = 50) -> DataFrame:

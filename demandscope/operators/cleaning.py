@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import number
 from ..functions.text import respell, title
 
 #: Fixed rules of the domain.
@@ -44,7 +45,7 @@ def clean_transactions(df: DataFrame, outlets: DataFrame) -> tuple[DataFrame, Da
 
 def mark_outlets(master: DataFrame, coordinates: DataFrame) -> DataFrame:
     """Master with coordinates and ``failure_reason``; swapped coordinates are put right; of outlets at one place the smallest id stays."""
-    merged = master.join(coordinates.select("Outlet_ID", "Latitude", "Longitude"), "Outlet_ID", "left")
+    merged = master.join(coordinates.select("Outlet_ID", number("Latitude").alias("Latitude"), number("Longitude").alias("Longitude")), "Outlet_ID", "left")
     inside = lambda lat, lon: F.col(lat).between(*LAT_RANGE) & F.col(lon).between(*LON_RANGE)
     missing = F.col("Latitude").isNull() | F.col("Longitude").isNull()
     right, swapped = inside("Latitude", "Longitude"), inside("Longitude", "Latitude")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_sum, ratio, share
+from ..functions.numeric import ratio, share, total
 from ..functions.text import PROVINCES, indicator_names, indicators, lookup, province
 
 #: Fixed categories of points of interest.
@@ -17,10 +17,11 @@ CATEGORIES = {
     "place_of_worship": "Social", "community_centre": "Social", "theatre": "Social", "shelter": "Social", "hotel": "Tourism", "guest_house": "Tourism", "attraction": "Tourism", "museum": "Tourism",
 }
 CATEGORY_NAMES = tuple(sorted({*CATEGORIES.values(), "Other"}))
-OUTLET_TYPES = ("Automobile", "Bakery", "Building", "Eatery", "Furniture", "Grocery", "Hotel", "Household", "Kiosk", "Machinery", "Pharmacy", "SMMT")
+OUTLET_TYPES = ("Bakery", "Eatery", "Grocery", "Hotel", "Kiosk", "Pharmacy", "SMMT")
 OUTLET_SIZES = ("Extra Large", "Large", "Medium", "Small", "Unknown")
 SEASONS = ("Favorable", "Moderate", "Un-Favorable")
 PROVINCE_NAMES = tuple(sorted({*PROVINCES.values(), "Other", "Unknown"}))
+#: The domain's categories; tables with others pass their own, or have them found.
 VOCABULARIES = {"Outlet_Type": OUTLET_TYPES, "Outlet_Size": OUTLET_SIZES, "Province": PROVINCE_NAMES, "Seasonality_Index": SEASONS}
 PANEL_KEYS = ("Outlet_ID", "Year", "Month", "Distributor_ID")
 PROXIES = ("CV_Volume", "Flatline_Score", "Round_Number_Bias", "Price_Rigidity")
@@ -28,7 +29,7 @@ PROXIES = ("CV_Volume", "Flatline_Score", "Round_Number_Bias", "Price_Rigidity")
 
 def monthly_panel(transactions: DataFrame) -> DataFrame:
     """Volume and bill by outlet, year, month and distributor; rows with a missing key are left out."""
-    return transactions.dropna(subset=list(PANEL_KEYS)).groupBy(*PANEL_KEYS).agg(exact_sum(F.col("Volume_Liters")).alias("Volume_Liters"), exact_sum(F.col("Total_Bill_Value")).alias("Total_Bill_Value"))
+    return transactions.dropna(subset=list(PANEL_KEYS)).groupBy(*PANEL_KEYS).agg(total(F.col("Volume_Liters")).alias("Volume_Liters"), total(F.col("Total_Bill_Value")).alias("Total_Bill_Value"))
 
 
 def constraint_proxies(panel: DataFrame) -> DataFrame:
@@ -51,8 +52,8 @@ def flatline(panel: DataFrame) -> DataFrame:
     """Share of the commonest volume; missing volumes count as rows but not as a volume; 0 for a single row."""
     by_value = panel.groupBy("Outlet_ID", "Volume_Liters").agg(F.count("*").alias("__n"))
     top = F.coalesce(F.max(F.when(F.col("Volume_Liters").isNotNull(), F.col("__n"))), F.lit(0))
-    total = F.sum("__n")
-    return by_value.groupBy("Outlet_ID").agg(F.when(total < 2, F.lit(0.0)).otherwise(top.cast("double") / total.cast("double")).alias("Flatline_Score"))
+    rows = F.sum("__n")
+    return by_value.groupBy("Outlet_ID").agg(F.when(rows < 2, F.lit(0.0)).otherwise(top.cast("double") / rows.cast("double")).alias("Flatline_Score"))
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -65,10 +66,10 @@ def both_ways(edges: DataFrame) -> DataFrame:
 
 def competitor_features(edges: DataFrame) -> DataFrame:
     friction = F.col("Competitive_Friction").cast("decimal(18,4)")
-    total = F.sum(friction).cast("double")
+    added = F.sum(friction).cast("double")
     return both_ways(edges).groupBy("Outlet_ID").agg(
         F.count("Competitor_ID").alias("Competitor_Count_5km"), F.min("Distance_Meters").alias("Min_Competitor_Distance_Meters"),
-        total.alias("Total_Competitive_Friction"), (total / F.count(friction).cast("double")).alias("Average_Competitive_Friction"),
+        added.alias("Total_Competitive_Friction"), (added / F.count(friction).cast("double")).alias("Average_Competitive_Friction"),
     )
 
 
@@ -80,9 +81,9 @@ def poi_category_pivot(edges: DataFrame, categories: Sequence[str] = CATEGORY_NA
 
 
 def poi_totals(edges: DataFrame) -> DataFrame:
-    total = F.sum(F.col("Footfall_Impact_Score").cast("decimal(24,2)")).cast("double")
+    added = F.sum(F.col("Footfall_Impact_Score").cast("decimal(24,2)")).cast("double")
     mean = F.sum(F.col("Distance_Meters").cast("decimal(18,2)")).cast("double") / F.count("Distance_Meters").cast("double")
-    return edges.groupBy("Outlet_ID").agg(total.alias("POI_Total_Impact_Score"), mean.alias("POI_Avg_Distance_Meters"))
+    return edges.groupBy("Outlet_ID").agg(added.alias("POI_Total_Impact_Score"), mean.alias("POI_Avg_Distance_Meters"))
 
 
 def poi_features(edges: DataFrame) -> DataFrame:
@@ -95,47 +96,79 @@ def holiday_counts(holidays: DataFrame) -> DataFrame:
     return holidays.select(F.year(day).alias("Year"), F.month(day).alias("Month")).dropna().groupBy("Year", "Month").agg(F.count("*").alias("Holiday_Count"))
 
 
-def feature_columns(impacts: bool = True) -> list[str]:
+COMPETITION = ("Competitor_Count_5km", "Min_Competitor_Distance_Meters", "Total_Competitive_Friction", "Average_Competitive_Friction")
+POINTS = ("POI_Total_Impact_Score", "POI_Avg_Distance_Meters", *(f"POI_Impact_{c}" for c in CATEGORY_NAMES))
+POINT_COUNTS = ("POI_Count_500m", "POI_Count_1km")
+MEASURES = ("Volume_Liters", "Total_Bill_Value", "Latitude", "Longitude", "ln_volume")
+MOST_CATEGORIES = 1000
+
+
+def feature_columns(impacts: bool = True, vocabularies: Mapping[str, Sequence[str]] = VOCABULARIES) -> list[str]:
     """Demand drivers of the gold table, in order, without the intercept."""
-    spatial = ["POI_Total_Impact_Score", "POI_Avg_Distance_Meters", *(f"POI_Impact_{c}" for c in CATEGORY_NAMES)] if impacts else ["POI_Count_500m", "POI_Count_1km"]
-    return ["Cooler_Count", "Competitor_Count_5km", "Min_Competitor_Distance_Meters", "Total_Competitive_Friction", "Average_Competitive_Friction", *spatial, "Holiday_Count", *(n for name, values in VOCABULARIES.items() for n in indicator_names(name, values))]
+    spatial = (*COMPETITION, *POINTS) if impacts else POINT_COUNTS
+    return ["Cooler_Count", *spatial, "Holiday_Count", *(n for name, values in vocabularies.items() for n in indicator_names(name, values))]
+
 
+def drivers(gold: DataFrame) -> list[str]:
+    """The demand drivers that a gold table has, whatever its categories."""
+    return [c for c in gold.columns if c not in (*PANEL_KEYS, *MEASURES, *PROXIES)]
 
-def _indicators() -> dict:
-    return {k: c for name, values in VOCABULARIES.items() for k, c in indicators(name, values).items()}
 
+def vocabularies_of(df: DataFrame) -> dict[str, tuple[str, ...]]:
+    """The categories that the rows have, column by column, in order; raises beyond ``MOST_CATEGORIES`` in one. The first of each is the base of its 0/1 columns."""
+    out = {}
+    for c in VOCABULARIES:
+        found = df.select(c).where(F.col(c).isNotNull()).distinct().limit(MOST_CATEGORIES + 1).collect()  # bounded by the limit
+        if len(found) > MOST_CATEGORIES:
+            raise ValueError(f"{c} has more than {MOST_CATEGORIES} categories")
+        out[c] = tuple(sorted(r[0] for r in found))
+    return out
 
-def check_vocabulary(df: DataFrame) -> None:
-    """Raises if a category isn't in the fixed vocabularies (strict mode)."""
-    row = df.agg(*[F.count_if(~F.col(c).isin(*v)).alias(c) for c, v in VOCABULARIES.items() if c in df.columns]).first()
+
+def check_vocabulary(df: DataFrame, vocabularies: Mapping[str, Sequence[str]] = VOCABULARIES) -> None:
+    """Raises if a category isn't in the vocabularies (strict mode)."""
+    row = df.agg(*[F.count_if(~F.col(c).isin(*v)).alias(c) for c, v in vocabularies.items() if c in df.columns]).first()
     if wrong := {k: v for k, v in row.asDict().items() if v}:
         raise ValueError(f"values outside the vocabularies: {wrong}")
 
 
-def gold_features(transactions: DataFrame, outlets: DataFrame, competitors: DataFrame, points: DataFrame, season: DataFrame, holiday: DataFrame, strict: bool = False) -> DataFrame:
-    """Panel rows with positive volume, every feature, the four proxies, the logarithm of volume and 0/1 categories."""
-    return _gold(transactions, outlets, competitors, poi_features(points), season, holiday, True, strict)
+def _panel_rows(panel: DataFrame, outlet: DataFrame, season: DataFrame, holiday: DataFrame) -> DataFrame:
+    """Panel rows with positive volume and all that is known of their outlet, season and month: one join on the long side for each."""
+    gold = panel.where("Volume_Liters > 0").join(outlet, "Outlet_ID").join(season, ["Distributor_ID", "Year", "Month"], "left").join(holiday_counts(holiday), ["Year", "Month"], "left")
+    return gold.fillna({"Holiday_Count": 0}).withColumns({"ln_volume": F.ln("Volume_Liters"), "Province": province(F.col("Distributor_ID"))})
+
 
+def _with_categories(gold: DataFrame, impacts: bool, vocabularies, strict: bool) -> DataFrame:
+    if vocabularies is None:
+        vocabularies = vocabularies_of(gold)
+    elif strict:
+        check_vocabulary(gold, vocabularies)
+    gold = gold.withColumns({k: c for name, values in vocabularies.items() for k, c in indicators(name, values).items()})
+    return gold.select(*PANEL_KEYS, *MEASURES, *feature_columns(impacts, vocabularies), *PROXIES)
 
-def gold_features_legacy(transactions: DataFrame, outlets: DataFrame, competitors: DataFrame, counts: DataFrame, season: DataFrame, holiday: DataFrame, strict: bool = False) -> DataFrame:
-    """The older table: point counts in place of decayed impact; missing counts, variation and rigidity stay missing."""
-    return _gold(transactions, outlets, competitors, counts, season, holiday, False, strict)
 
+def gold_features(
+    transactions: DataFrame, outlets: DataFrame, competitors: DataFrame, points: DataFrame, season: DataFrame, holiday: DataFrame, vocabularies: Mapping[str, Sequence[str]] | None = VOCABULARIES, strict: bool = False
+) -> DataFrame:
+    """Panel rows with positive volume, every feature, the four proxies, the logarithm of volume and 0/1 categories.
 
-def _gold(transactions, outlets, competitors, spatial, season, holiday, impacts: bool, strict: bool) -> DataFrame:
+    ``vocabularies`` gives the categories of each column, the first in order being the base; None has them found in the rows, which takes a job of its own.
+    """
     panel = monthly_panel(transactions)
-    proxies = constraint_proxies(panel)
-    if not impacts:
-        lone = panel.groupBy("Outlet_ID").agg(F.count("*").alias("__months"), F.count(ratio(F.col("Total_Bill_Value"), F.col("Volume_Liters"))).alias("__prices"))
-        proxies = proxies.join(lone, "Outlet_ID").withColumns({"CV_Volume": F.when(F.col("__months") > 1, F.col("CV_Volume")), "Price_Rigidity": F.when(F.col("__prices") > 1, F.col("Price_Rigidity"))}).drop("__months", "__prices")
-    # everything known of an outlet is put together before the panel is touched: one join on the long side
-    outlet = outlets.join(competitor_features(competitors), "Outlet_ID", "left").join(spatial, "Outlet_ID", "left").join(proxies, "Outlet_ID", "left")
-    gold = panel.where("Volume_Liters > 0").join(outlet, "Outlet_ID").join(season, ["Distributor_ID", "Year", "Month"], "left").join(holiday_counts(holiday), ["Year", "Month"], "left")
-    fills = {"Competitor_Count_5km": 0, "Min_Competitor_Distance_Meters": 5000.0, "Total_Competitive_Friction": 0.0, "Average_Competitive_Friction": 0.0, "Holiday_Count": 0}
-    if impacts:
-        fills |= {"POI_Total_Impact_Score": 0.0, "POI_Avg_Distance_Meters": 1000.0, **{f"POI_Impact_{c}": 0.0 for c in CATEGORY_NAMES}}
-    gold = gold.fillna(fills).withColumns({"ln_volume": F.ln("Volume_Liters"), "Province": province(F.col("Distributor_ID"))})
-    if strict:
-        check_vocabulary(gold)
-    gold = gold.withColumns(_indicators())
-    return gold.select(*PANEL_KEYS, "Volume_Liters", "Total_Bill_Value", "Latitude", "Longitude", "ln_volume", *feature_columns(impacts), *PROXIES)
+    # everything known of an outlet is put together before the panel is touched
+    outlet = outlets.join(competitor_features(competitors), "Outlet_ID", "left").join(poi_features(points), "Outlet_ID", "left").join(constraint_proxies(panel), "Outlet_ID", "left")
+    fills = {"Competitor_Count_5km": 0, "Min_Competitor_Distance_Meters": 5000.0, "Total_Competitive_Friction": 0.0, "Average_Competitive_Friction": 0.0}
+    fills |= {"POI_Total_Impact_Score": 0.0, "POI_Avg_Distance_Meters": 1000.0, **{f"POI_Impact_{c}": 0.0 for c in CATEGORY_NAMES}}
+    return _with_categories(_panel_rows(panel, outlet.fillna(fills), season, holiday), True, vocabularies, strict)
+
+
+def gold_features_legacy(
+    transactions: DataFrame, outlets: DataFrame, counts: DataFrame, season: DataFrame, holiday: DataFrame, vocabularies: Mapping[str, Sequence[str]] | None = VOCABULARIES, strict: bool = False
+) -> DataFrame:
+    """The older table: point counts in place of decayed impact and competition; missing counts, variation and rigidity stay missing."""
+    panel = monthly_panel(transactions)
+    lone = panel.groupBy("Outlet_ID").agg(F.count("*").alias("__months"), F.count(ratio(F.col("Total_Bill_Value"), F.col("Volume_Liters"))).alias("__prices"))
+    proxies = constraint_proxies(panel).join(lone, "Outlet_ID")
+    proxies = proxies.withColumns({"CV_Volume": F.when(F.col("__months") > 1, F.col("CV_Volume")), "Price_Rigidity": F.when(F.col("__prices") > 1, F.col("Price_Rigidity"))}).drop("__months", "__prices")
+    outlet = outlets.join(counts, "Outlet_ID", "left").join(proxies, "Outlet_ID", "left")
+    return _with_categories(_panel_rows(panel, outlet, season, holiday), False, vocabularies, strict)

@@ -5,15 +5,16 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_sum, ratio, round_half_even, share
-from .features import SEASONS
+from ..functions.numeric import mean, number, ratio, round_half_even, share, total
 from .frontier import INTERCEPT, Frontier
 
 #: Fixed mean number of holidays of the target month.
 TARGET_MONTH, TARGET_HOLIDAYS, LEAST = 1, 11.3, 0.01
+SEASON = "Seasonality_Index_"
+CELLS = 4096  # of a measure's range in the search for its quantiles
 
 
 def first_per_group(df: DataFrame, key: str, values: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -30,20 +31,20 @@ def latest_row(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 def historical_peaks(transactions: DataFrame, month: int = TARGET_MONTH) -> DataFrame:
     """Overall_Max and Jan_Max (the overall one where the month has no sales) of monthly sums of positive volumes."""
-    months = transactions.where("Volume_Liters > 0").groupBy("Outlet_ID", "Year", "Month").agg(exact_sum(F.col("Volume_Liters")).alias("v"))
+    months = transactions.where(number("Volume_Liters") > 0).groupBy("Outlet_ID", "Year", "Month").agg(total(F.col("Volume_Liters")).alias("v"))
     peaks = months.groupBy("Outlet_ID").agg(F.max("v").alias("Overall_Max"), F.max(F.when(F.col("Month") == month, F.col("v"))).alias("m"))
     return peaks.select("Outlet_ID", "Overall_Max", F.coalesce("m", "Overall_Max").alias("Jan_Max"))
 
 
 def target_features(gold: DataFrame, transactions: DataFrame, season: DataFrame, features: Sequence[str], month: int = TARGET_MONTH, holidays: float = TARGET_HOLIDAYS) -> DataFrame:
     """One row an outlet: its first static features, the season of its first distributor in the target month, constant holidays."""
-    season_cols = [f"Seasonality_Index_{s}" for s in SEASONS[1:]]
-    static = [f for f in features if f not in (*season_cols, "Holiday_Count", INTERCEPT)]
+    seasons = {f: f.removeprefix(SEASON) for f in features if f.startswith(SEASON)}
+    static = [f for f in features if f not in (*seasons, "Holiday_Count", INTERCEPT)]
     rows = first_per_group(gold, "Outlet_ID", static, ["Year", "Month", "Distributor_ID"])
     distributor = first_per_group(transactions, "Outlet_ID", ["Distributor_ID"], ["Year", "Month", "Distributor_ID"])
     then = first_per_group(season.where(F.col("Month") == month), "Distributor_ID", ["Seasonality_Index"], ["Year"])
     found = rows.join(distributor, "Outlet_ID", "left").join(then, "Distributor_ID", "left")
-    dummies = {c: F.coalesce((F.col("Seasonality_Index") == s).cast("int"), F.lit(0)) for c, s in zip(season_cols, SEASONS[1:], strict=True)}
+    dummies = {c: F.coalesce((F.col("Seasonality_Index") == s).cast("int"), F.lit(0)) for c, s in seasons.items()}
     return found.withColumns({**dummies, "Holiday_Count": F.lit(holidays)}).select("Outlet_ID", *[f for f in features if f != INTERCEPT])
 
 
@@ -61,8 +62,8 @@ def latent_potential(gold: DataFrame, transactions: DataFrame, season: DataFrame
 
 
 def _ratios(predictions: DataFrame, transactions: DataFrame) -> DataFrame:
-    months = transactions.groupBy("Outlet_ID", "Year", "Month").agg(exact_sum(F.col("Volume_Liters")).alias("v"))
-    history = months.groupBy("Outlet_ID").agg(F.max("v").alias("hist_max"), (F.sum(F.col("v").cast("decimal(18,2)")).cast("double") / F.count("v").cast("double")).alias("hist_mean"), F.min("v").alias("hist_min"))
+    months = transactions.groupBy("Outlet_ID", "Year", "Month").agg(total(F.col("Volume_Liters")).alias("v"))
+    history = months.groupBy("Outlet_ID").agg(F.max("v").alias("hist_max"), mean(F.col("v")).alias("hist_mean"))
     both = predictions.select("Outlet_ID", "Maximum_Monthly_Liters").join(history, "Outlet_ID")
     p = F.col("Maximum_Monthly_Liters")
     return both.withColumns({"ratio_to_max": ratio(p, F.col("hist_max")), "ratio_to_mean": ratio(p, F.col("hist_mean"))})
@@ -81,11 +82,35 @@ def ceiling_verification(predictions: DataFrame, transactions: DataFrame) -> Dat
 
 
 def describe(df: DataFrame, columns: Sequence[str], points: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95)) -> DataFrame:
-    """(measure, n, mean, std, min, max, p05 ...): exact quantiles, interpolated between neighbours."""
-    rows = df.unpivot([], [F.col(c).cast("double").alias(c) for c in columns], "measure", "v")
-    quantiles = [F.percentile("v", q).alias(f"p{round(q * 100):02d}") for q in points]
-    return rows.groupBy("measure").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), *quantiles, F.max("v").alias("max"))
+    """(measure, n, mean, std, min, max, p05 ...): exact quantiles, interpolated between neighbours; missing values are skipped.
+
+    The range of a measure is cut into cells; their counts tell in which cells the wanted ranks lie, and only the values in those are sorted. No task holds
+    the values of a whole column.
+    """
+    rows = df.unpivot([], [number(c).alias(c) for c in columns], "measure", "v").where("v IS NOT NULL")
+    stats = rows.groupBy("measure").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    wide = F.col("max") - F.col("min")
+    cell = F.when(wide > 0, F.least(F.floor((F.col("v") - F.col("min")) / wide * CELLS), F.lit(CELLS - 1))).otherwise(F.lit(0)).cast("int")
+    placed = rows.join(F.broadcast(stats.select("measure", "min", "max")), "measure").select("measure", "v", cell.alias("cell"))  # a row a column
+    counts = placed.groupBy("measure", "cell").agg(F.count("*").alias("c"))
+    upto = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, 0)
+    cells = counts.withColumn("until", F.sum("c").over(upto("measure", "cell")))
+    # of each point the two ranks that it lies between, and how far it is from the first
+    at = F.explode(F.array(*[F.struct(F.lit(k).alias("point"), ((F.col("n") - 1) * F.lit(float(q))).alias("h")) for k, q in enumerate(points)])).alias("w")
+    wanted = stats.select("measure", "n", at).select("measure", "w.point", (F.col("w.h") - F.floor("w.h")).alias("share"), F.explode(F.array(F.floor("w.h"), F.least(F.floor("w.h") + 1, F.col("n") - 1))).alias("rank"))
+    wanted = wanted.distinct().join(cells.withColumnRenamed("measure", "m"), (F.col("measure") == F.col("m")) & (F.col("rank") < F.col("until")) & (F.col("rank") >= F.col("until") - F.col("c")))
+    wanted = wanted.select("measure", "point", "share", "cell", (F.col("rank") - F.col("until") + F.col("c")).alias("inside"))  # two rows a point and column
+    near = placed.join(F.broadcast(wanted.select("measure", "cell").distinct()), ["measure", "cell"], "left_semi").groupBy("measure", "cell", "v").agg(F.count("*").alias("c"))
+    near = near.withColumn("until", F.sum("c").over(upto("measure", "cell", "v")))
+    met = near.join(F.broadcast(wanted.withColumnsRenamed({"measure": "m", "cell": "k"})), (F.col("measure") == F.col("m")) & (F.col("cell") == F.col("k")) & (F.col("inside") < F.col("until")) & (F.col("inside") >= F.col("until") - F.col("c")))
+    low, high = F.min("v"), F.max("v")
+    values = met.groupBy("measure", "point").agg((low + (high - low) * F.max("share")).alias("q"))
+    quantiles = values.groupBy("measure").agg(*[F.max(F.when(F.col("point") == k, F.col("q"))).alias(f"p{round(q * 100):02d}") for k, q in enumerate(points)])
+    return stats.join(quantiles, "measure").select("measure", "n", "mean", "std", "min", *[f"p{round(q * 100):02d}" for q in points], "max")
 
 
 def ratio_distribution(predictions: DataFrame, transactions: DataFrame) -> DataFrame:
-    return describe(_ratios(predictions, transactions).select("ratio_to_max", "ratio_to_mean"), ["ratio_to_max", "ratio_to_mean"])
+    """``describe`` of the ratios to maximum and mean, and of that to the maximum where it isn't reached (``ratio_under_max``)."""
+    both = _ratios(predictions, transactions)
+    under = F.when(F.col("Maximum_Monthly_Liters") < F.col("hist_max"), F.col("ratio_to_max"))
+    return describe(both.select("ratio_to_max", "ratio_to_mean", under.alias("ratio_under_max")), ["ratio_to_max", "ratio_to_mean", "ratio_under_max"])

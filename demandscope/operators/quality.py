@@ -5,16 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import missing, number
+
+
+def _missing(df: DataFrame, column: str) -> Column:
+    return missing(column) if dict(df.dtypes)[column] in ("double", "float") else F.col(column).isNull()
+
 
 def check_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, null_count) of columns that have missing values; a column that isn't there is skipped. One pass."""
     there = [c for c in columns if c in df.columns]
     if not there:
         return df.sparkSession.createDataFrame([], "column_name string, null_count long")
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in there])
+    counts = df.agg(*[F.count_if(_missing(df, c)).alias(c) for c in there])
     return counts.unpivot([], there, "column_name", "null_count").where("null_count > 0")
 
 
@@ -25,7 +31,8 @@ def check_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def check_ranges(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
     """Rows outside [low, high]; a missing value passes."""
-    return df.where((F.col(column) < low) | (F.col(column) > high))
+    v = number(column)
+    return df.where((v < low) | (v > high))
 
 
 def check_referential_integrity(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
@@ -41,31 +48,42 @@ def check_datatypes(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column_name string, expected string, found string")
 
 
-def _row(df: DataFrame, name: str, count) -> DataFrame:
-    return df.agg(count.cast("long").alias("issues")).select(F.lit(name).alias("check_name"), "issues", F.when(F.col("issues") == 0, "OK").otherwise("FAIL").alias("status"))
+def _in_one_pass(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+    """(check_name, issues) of conditions, all counted in one pass."""
+    counts = df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in checks.items()])
+    return counts.unpivot([], [F.col(f"`{name}`") for name in checks], "check_name", "issues")
+
+
+def _one(df: DataFrame, name: str, count: Column) -> DataFrame:
+    return df.agg(F.coalesce(count, F.lit(0)).cast("long").alias("issues")).select(F.lit(name).alias("check_name"), "issues")
+
+
+def _outside(column: str, low: float, high: float) -> Column:
+    v = number(column)
+    return (v < low) | (v > high)
 
 
-def _report(rows: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, rows)
+def _report(*parts: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts).withColumn("status", F.when(F.col("issues") == 0, "OK").otherwise("FAIL"))
 
 
 def silver_report(transactions: DataFrame, outlets: DataFrame, keys: Sequence[str], lat=(5.9, 9.9), lon=(79.6, 81.9)) -> DataFrame:
-    """check_name, issues, status of the cleaned layer: missing values, repeats, orphans and coordinates."""
-    nulls = lambda df, c: F.count_if(F.col(c).isNull())
-    rows = [_row(transactions, f"transactions null {c}", nulls(transactions, c)) for c in ("Outlet_ID", "Volume_Liters", "Total_Bill_Value")]
-    rows += [_row(outlets, f"outlets null {c}", nulls(outlets, c)) for c in ("Outlet_ID", "Outlet_Type", "Outlet_Size")]
-    rows.append(_row(check_duplicates(transactions, keys), "transactions duplicates", F.sum("duplicate_count")))
-    rows.append(_row(check_duplicates(outlets, ["Outlet_ID"]), "outlets duplicates", F.sum("duplicate_count")))
-    rows.append(_row(check_referential_integrity(transactions, outlets, "Outlet_ID", "Outlet_ID"), "transactions orphan outlets", F.count("*")))
-    rows.append(_row(check_ranges(outlets, "Latitude", *lat), "outlets latitude range", F.count("*")))
-    rows.append(_row(check_ranges(outlets, "Longitude", *lon), "outlets longitude range", F.count("*")))
-    return _report(rows)
+    """check_name, issues, status of the cleaned layer: missing values of every column, repeats, orphans and coordinates. A pass over each table and one each for repeats and orphans."""
+    of = lambda df, name: {f"{name} null {c}": _missing(df, c) for c in df.columns}
+    places = {"outlets latitude range": _outside("Latitude", *lat), "outlets longitude range": _outside("Longitude", *lon)}
+    return _report(
+        _in_one_pass(transactions, of(transactions, "transactions")),
+        _in_one_pass(outlets, of(outlets, "outlets") | places),
+        _one(check_duplicates(transactions, keys), "transactions duplicates", F.sum("duplicate_count")),
+        _one(check_duplicates(outlets, ["Outlet_ID"]), "outlets duplicates", F.sum("duplicate_count")),
+        _one(check_referential_integrity(transactions, outlets, "Outlet_ID", "Outlet_ID"), "transactions orphan outlets", F.count("*")),
+    )
 
 
 def bronze_report(transactions: DataFrame, master: DataFrame, keys: Sequence[str], volume=(0.0, 1e9)) -> DataFrame:
-    """check_name, issues, status of raw transactions: missing values, repeats, volume range, orphans."""
-    rows = [_row(transactions, f"null {c}", F.count_if(F.col(c).isNull())) for c in keys]
-    rows.append(_row(check_duplicates(transactions, keys), "duplicates", F.sum("duplicate_count")))
-    rows.append(_row(check_ranges(transactions, "Volume_Liters", *volume), "volume range", F.count("*")))
-    rows.append(_row(check_referential_integrity(transactions, master, "Outlet_ID", "Outlet_ID"), "orphan outlets", F.count("*")))
-    return _report(rows)
+    """check_name, issues, status of raw transactions: missing values, volume range, repeats, orphans."""
+    return _report(
+        _in_one_pass(transactions, {f"null {c}": _missing(transactions, c) for c in keys} | {"volume range": _outside("Volume_Liters", *volume)}),
+        _one(check_duplicates(transactions, keys), "duplicates", F.sum("duplicate_count")),
+        _one(check_referential_integrity(transactions, master, "Outlet_ID", "Outlet_ID"), "orphan outlets", F.count("*")),
+    )

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import tables as T
 from ..functions.geo import utm44n
-from ..functions.numeric import round_half_even, skewness_corrected
+from ..functions.numeric import skewness_corrected, total
 from ..functions.text import indicators, province, respell, title
 from ..operators import allocation, anomalies, cleaning, explain, features, frontier, projection, quality, spatial
+from ..session import once
 
 #: A fixed model, so that what follows the fit can be checked exactly.
 MODEL = frontier.Frontier(
     ("Cooler_Count", "Competitor_Count_5km", "POI_Total_Impact_Score", "Holiday_Count", "Outlet_Size_Large", "Seasonality_Index_Moderate", "Province_Western", "Intercept"),
     (0.05, -0.0001, 0.000002, 0.01, 0.2, -0.1, 0.15, 3.0), 0.6, 0.4,
 )
+#: The JSON text of a payload.
+PAYLOAD = (
+    "outlet_id string, historical_actual_sales_liters double, predicted_maximum_potential_liters double, opportunity_gap_liters double, technical_efficiency_score double, inefficiency_percentage double, "
+    "key_compounding_drivers array<struct<feature string, value double, direction string, compounding_lift string>>, local_environmental_signals map<string, double>, operational_constraints map<string, double>"
+)
 DENSITY = 10.0
 BUDGET = 20_000.0
 
@@ -29,6 +35,7 @@ def _shown(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 
 
 def _dims(s, d):
+    """Cleaned outlets."""
     return cleaning.clean_outlets(T.outlet_master(s, d), T.outlet_coordinates(s, d))[0]
 
 
@@ -45,32 +52,26 @@ def _edges(s, d):
 
 
 def _gold(s, d):
-    dims = _dims(s, d)
+    dims = once(_dims(s, d))  # read by the competitor graph, the points and the table
     edges = spatial.poi_edges(dims, T.pois(s, d), density_scale=DENSITY)
-    return features.gold_features(T.transactions(s, d), dims, spatial.competitor_graph(dims), edges, T.seasons(s, d), T.holidays(s, d))
+    return features.gold_features(T.transactions(s, d), dims, spatial.competitor_graph(dims), edges, T.seasons(s, d), T.holidays(s, d), T.VOCABULARIES)
 
 
 def _gold_legacy(s, d):
-    dims = _dims(s, d)
-    return features.gold_features_legacy(T.transactions(s, d), dims, spatial.competitor_graph(dims), spatial.poi_counts(dims, T.pois(s, d)), T.seasons(s, d), T.holidays(s, d))
+    dims = once(_dims(s, d))
+    return features.gold_features_legacy(T.transactions(s, d), dims, spatial.poi_counts(dims, T.pois(s, d)), T.seasons(s, d), T.holidays(s, d), T.VOCABULARIES)
 
 
 #: Digits shown of the gold table's measures: quotients of short decimals get ten, so that no tie is rounded.
-GOLD_ROUND = {"ln_volume": 6, "CV_Volume": 6, "Price_Rigidity": 2, "Total_Competitive_Friction": 10, "Average_Competitive_Friction": 10, "Flatline_Score": 10, "Round_Number_Bias": 10}
+GOLD_ROUND = {"ln_volume": 6, "CV_Volume": 6, "Price_Rigidity": 2, "Flatline_Score": 10, "Round_Number_Bias": 10}
 
 
 def _predictions(s, d):
     return projection.latent_potential(_gold(s, d), T.transactions(s, d), T.seasons(s, d), MODEL)
 
 
-def _simple_predictions(s, d):
-    """Ceilings from the peaks alone, for what only needs some."""
-    peaks = projection.historical_peaks(T.transactions(s, d))
-    return peaks.select("Outlet_ID", round_half_even(F.col("Overall_Max") * 1.25, 2).alias("Maximum_Monthly_Liters"))
-
-
 def _allocated(s, d):
-    return allocation.spend_allocation(T.transactions(s, d), _simple_predictions(s, d), budget=BUDGET)
+    return once(allocation.spend_allocation(T.transactions(s, d), once(_predictions(s, d)), budget=BUDGET))
 
 
 def _with_dims(s, d):
@@ -166,7 +167,7 @@ def poi_features(s, d):
 
 
 def gold_features(s, d):
-    return _shown(_gold(s, d), GOLD_ROUND | {"POI_Avg_Distance_Meters": 9})
+    return _shown(_gold(s, d), GOLD_ROUND | {"Total_Competitive_Friction": 10, "Average_Competitive_Friction": 10, "POI_Avg_Distance_Meters": 9})
 
 
 def gold_features_legacy(s, d):
@@ -191,13 +192,9 @@ def first_per_group(s, d):
 
 
 def sequential_ids(s, d):
-    """Zero-padded numbers by key order: ranks of ranges plus places inside, so that no task sees all rows."""
+    """Running numbers of points by key order."""
     p = T.raw(s, d, "part").select("p_partkey")
-    ordered = p.withColumn("__b", F.floor(F.col("p_partkey") / 1000).cast("long"))
-    sizes = ordered.groupBy("__b").agg(F.count("*").alias("__n"))
-    starts = sizes.select("__b", F.coalesce(F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__s"))
-    inside = F.row_number().over(Window.partitionBy("__b").orderBy("p_partkey"))
-    return ordered.withColumn("__i", inside).join(starts, "__b").select("p_partkey", F.concat(F.lit("POI_"), F.lpad((F.col("__s") + F.col("__i") - 1).cast("string"), 6, "0")).alias("poi_id"))
+    return spatial.sequential_ids(p, ["p_partkey"], [F.floor(F.col("p_partkey") / 1000)], "poi_id")
 
 
 # ---- history and allocation
@@ -231,11 +228,11 @@ def _spend(column):
 
 
 def ceiling_verification(s, d):
-    return _r(projection.ceiling_verification(_simple_predictions(s, d), T.transactions(s, d)), 6, "pct_above_max", "pct_above_mean")
+    return _r(projection.ceiling_verification(once(_predictions(s, d)), T.transactions(s, d)), 6, "pct_above_max", "pct_above_mean")
 
 
 def ratio_distribution(s, d):
-    out = projection.ratio_distribution(_simple_predictions(s, d), T.transactions(s, d))
+    out = projection.ratio_distribution(once(_predictions(s, d)), T.transactions(s, d))
     return _r(out, 6, *[c for c in out.columns if c not in ("measure", "n")])
 
 
@@ -247,7 +244,7 @@ def _scored(s, d):
 
 def sfa_fit(s, d):
     gold = _gold(s, d)
-    model = frontier.fit(gold, [c for c in features.feature_columns()])
+    model = frontier.fit(gold, features.drivers(gold))
     rows = [(k, float(v)) for k, v in frontier.variance_summary(model).items()]
     return s.createDataFrame(rows, "parameter string, value double")
 
@@ -274,9 +271,8 @@ def ranked_coefficients(s, d):
 def _latest_gold(s, d):
     """A row for each outlet: its newest, of the smallest distributor in that month."""
     g = _gold(s, d)
-    newest = g.groupBy("Outlet_ID").agg(F.max(F.struct("Year", "Month")).alias("__m")).select("Outlet_ID", "__m.*")
-    g = g.join(newest, ["Outlet_ID", "Year", "Month"])
-    return g.groupBy("Outlet_ID").agg(F.min_by(F.struct(*[c for c in g.columns if c != "Outlet_ID"]), "Distributor_ID").alias("r")).select("Outlet_ID", "r.*")
+    newest = F.struct(-F.col("Year"), -F.col("Month"), "Distributor_ID")
+    return g.groupBy("Outlet_ID").agg(F.min_by(F.struct(*[c for c in g.columns if c != "Outlet_ID"]), newest).alias("r")).select("Outlet_ID", "r.*")
 
 
 def driver_impacts(s, d):
@@ -289,7 +285,16 @@ def explanation_metrics(s, d):
 
 
 def explanation_payload(s, d):
-    return explain.payload(_latest_gold(s, d), MODEL)
+    """The payloads read back: figures, drivers in order as feature|direction|lift, and number and sum of the signals."""
+    # the exchange has each text (a row an outlet) made once, and not for each of its fields
+    told = explain.payload(_latest_gold(s, d), MODEL).repartition("Outlet_ID").select(F.inline(F.array(F.from_json("payload", PAYLOAD))))
+    lines = F.transform("key_compounding_drivers", lambda x: F.concat_ws("|", x["feature"], x["direction"], x["compounding_lift"]))
+    figures = [c.split()[0] for c in PAYLOAD.split(", ")[1:6]]
+    signals = {}
+    for name in ("local_environmental_signals", "operational_constraints"):
+        values = F.map_values(name)
+        signals |= {f"n_{name}": F.size(values), name: F.round(F.aggregate(values, F.lit(0.0), lambda a, b: a + b), 3)}
+    return told.select(F.col("outlet_id").alias("Outlet_ID"), *figures, F.array_join(lines, ";").alias("drivers"), *[v.alias(k) for k, v in signals.items()])
 
 
 def driver_impacts_legacy(s, d):
@@ -364,7 +369,12 @@ def anom_ocean(s, d):
 
 
 def anom_inactive(s, d):
-    return anomalies.inactive_outlets(T.outlet_master(s, d), T.transactions(s, d).where("Year = 2000 AND Month <= 3")).select("Outlet_ID")
+    return anomalies.inactive_outlets(T.outlet_master(s, d), T.transactions(s, d)).select("Outlet_ID")
+
+
+def anom_inactive_events(s, d):
+    """The same against the history of timestamped records."""
+    return anomalies.inactive_outlets(T.outlet_master(s, d), T.events(s, d)).select("Outlet_ID")
 
 
 def anom_volatility(s, d):
@@ -380,7 +390,7 @@ def anom_round_numbers(s, d):
 
 
 def anom_monthly_ceilings(s, d):
-    return anomalies.monthly_ceilings(T.transactions(s, d), "Volume_Liters").select("Outlet_ID", "SKU_ID", "Volume_Liters")
+    return anomalies.monthly_ceilings(T.transactions(s, d), "Volume_Liters")
 
 
 def anom_id_noise(s, d):
@@ -412,7 +422,7 @@ def anom_magic_numbers(s, d):
 # ---- exploration
 
 def _money(c):
-    return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
+    return F.round(total(F.col(c)), 2)
 
 
 def monthly_trend(s, d):
@@ -422,17 +432,17 @@ def monthly_trend(s, d):
 
 def province_trend(s, d):
     t = T.transactions(s, d).withColumn("Province", province(F.col("Distributor_ID")))
-    return t.groupBy("Province", "Year", "Month").agg(_money("Volume_Liters").alias("volume"))
+    return t.groupBy("Province", "Year", "Month").agg(_money("Total_Bill_Value").alias("bill"), _money("Volume_Liters").alias("volume"))
 
 
 def province_totals(s, d):
     t = T.transactions(s, d).withColumn("Province", province(F.col("Distributor_ID")))
-    return t.groupBy("Province").agg(_money("Volume_Liters").alias("volume"), F.countDistinct("Outlet_ID").alias("outlets"))
+    return t.groupBy("Province").agg(_money("Total_Bill_Value").alias("bill"), _money("Volume_Liters").alias("volume"), F.countDistinct("Outlet_ID").alias("outlets"))
 
 
 def top_distributors(s, d):
-    t = T.transactions(s, d).groupBy("Distributor_ID").agg(_money("Volume_Liters").alias("volume"))
-    return t.orderBy(F.desc("volume"), "Distributor_ID").limit(20)
+    t = T.transactions(s, d).groupBy("Distributor_ID").agg(_money("Total_Bill_Value").alias("bill"))
+    return t.orderBy(F.desc("bill"), "Distributor_ID").limit(20)
 
 
 def enriched_transactions(s, d):
@@ -474,7 +484,7 @@ QUERIES = {
         standardised_categories, utm_project, competitor_edges, competitor_features, poi_edges, poi_edges_no_multiplier, poi_counts, poi_category_pivot, poi_features, gold_features, gold_features_legacy, onehot_dropfirst,
         latest_row, first_per_group, sequential_ids, historical_peaks, baseline_january, price_fallback, latent_potential, spend_allocation, allocation_summary, ceiling_verification, ratio_distribution, sfa_fit, sfa_loglik_terms,
         outlet_report, efficiency_correlation, ranked_coefficients, driver_impacts, explanation_metrics, explanation_payload, driver_impacts_legacy, dq_nulls, dq_duplicates, dq_ranges, dq_referential, dq_datatypes, silver_report,
-        bronze_report, anom_negative, anom_spikes, anom_duplicate_invoices, anom_repeated_timestamps, anom_midnight, anom_duplicate_gps, anom_invalid_coordinates, anom_ocean, anom_inactive, anom_volatility, anom_delivery_caps,
+        bronze_report, anom_negative, anom_spikes, anom_duplicate_invoices, anom_repeated_timestamps, anom_midnight, anom_duplicate_gps, anom_invalid_coordinates, anom_ocean, anom_inactive, anom_inactive_events, anom_volatility, anom_delivery_caps,
         anom_round_numbers, anom_monthly_ceilings, anom_id_noise, anom_ghosts, anom_batch_writes, anom_count_spikes, anom_data_decay, anom_magic_numbers, monthly_trend, province_trend, province_totals, top_distributors,
         enriched_transactions, describe_skew, correlation_matrix, value_counts_top10, random_sample,
     )

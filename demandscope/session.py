@@ -1,8 +1,10 @@
-"""Session factory with the settings the library is written for."""
+"""Session factory with the settings the library is written for, and tables that are made once."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 #: Adaptive execution re-plans joins and skewed partitions; ANSI mode surfaces bad casts and divisions.
 SETTINGS = {
@@ -19,3 +21,17 @@ def session(app: str = "demandscope", master: str | None = None, **settings: str
     """The running session, or a new one with ``SETTINGS`` and what ``settings`` overrides (dots as double underscores)."""
     builder = SparkSession.builder.appName(app).config(map=SETTINGS | {k.replace("__", "."): v for k, v in settings.items()})
     return (builder.master(master) if master else builder).getOrCreate()
+
+
+def once(df: DataFrame) -> DataFrame:
+    """``df`` made now and read from there by all that follows: a checkpoint in the folder of ``spark.checkpoint.dir``, which executors share.
+
+    Where that is unset, a local session gets a temporary folder; on a cluster this raises.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        known = sc.getConf().get("spark.checkpoint.dir")
+        if not known and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(known or tempfile.mkdtemp(prefix="demandscope-"))
+    return df.checkpoint()

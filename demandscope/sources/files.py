@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from ..functions.numeric import without_nan
 from ..functions.text import missing_to_null
 
 #: Declared schemas of the raw layer.
@@ -62,8 +63,9 @@ def read_raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Parquet with NaN as a missing value."""
     df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
+    return without_nan(df.select(*columns) if columns else df)
 
 
 def ingest_bronze(spark: SparkSession, raw: str, bronze: str, names: Sequence[str] = tuple(n for n in SCHEMAS if n != "poi_counts")) -> dict[str, str]:
@@ -83,8 +85,8 @@ def ingest_bronze(spark: SparkSession, raw: str, bronze: str, names: Sequence[st
     return out
 
 
-def coordinates(corrected: DataFrame, raw: DataFrame, use_legacy: bool = False) -> DataFrame:
-    """Outlet_ID, Latitude, Longitude of valid outlets, corrected or as they came."""
+def coordinates(corrected: DataFrame, raw: DataFrame, use_legacy: bool = True) -> DataFrame:
+    """Outlet_ID, Latitude, Longitude of valid outlets, as they came or corrected."""
     if not use_legacy:
         return corrected.select("Outlet_ID", "Latitude", "Longitude")
     return corrected.select("Outlet_ID").join(raw.select("Outlet_ID", "Latitude", "Longitude"), "Outlet_ID")

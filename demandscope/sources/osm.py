@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ..operators.spatial import poi_type
+from ..operators.spatial import poi_type, sequential_ids
 
 TAGS = ("amenity", "highway", "railway", "tourism", "building", "landuse")
 #: Fixed tag values of points that drive demand.
@@ -180,6 +180,7 @@ def with_way_places(elements: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def points(elements: DataFrame) -> DataFrame:
-    """POI_ID, POI_Type, Latitude, Longitude; ids by kind and number, so that reruns agree, and elements without a place left out."""
-    named = elements.select(F.concat_ws("_", F.lit("POI"), F.substring("kind", 1, 1), F.col("id").cast("string")).alias("POI_ID"), poi_type(*TAGS).alias("POI_Type"), F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude"))
+    """POI_ID, POI_Type, Latitude, Longitude: running numbers over all elements by kind and number, so that reruns agree; then elements without a place are left out."""
+    found = elements.select("kind", "id", poi_type(*TAGS).alias("POI_Type"), F.col("lat").alias("Latitude"), F.col("lon").alias("Longitude"))
+    named = sequential_ids(found, ["kind", "id"], [F.col("kind"), F.floor(F.col("id") / 1_000_000)]).drop("kind", "id")
     return named.dropna(subset=["Latitude", "Longitude"])

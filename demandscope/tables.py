@@ -9,10 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.features import VOCABULARIES as VOCABULARIES_OF_THE_DOMAIN
+
+#: The driver's categories of the gold table's 0/1 columns.
+VOCABULARIES = VOCABULARIES_OF_THE_DOMAIN | {"Outlet_Type": ("Automobile", "Bakery", "Building", "Furniture", "Grocery", "Household", "Machinery")}
 CODES = ("W", "C", "S", "NW", "E", "NC", "U", "SG", "N", "X")
 POI_TYPES = ("bus_stop", "school", "hospital", "hotel", "place_of_worship", "marketplace", "station", "clinic", "university", "apartments", "guest_house", "industrial", "restaurant", "museum", "college", "bus_station", "unknown")
 
 
+MOON = 29_530_589  # millionths of a day in a mean month of the moon
+
+
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -81,14 +88,16 @@ def pois(spark, sf_dir) -> DataFrame:
 
 
 def holidays(spark, sf_dir) -> DataFrame:
-    """Date: order days of urgent orders divisible by 97."""
-    return raw(spark, sf_dir, "orders").where(F.col("o_orderkey") % 97 == 0).select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("Date")).distinct()
+    """Date: days of full moon (by the mean month, counted from that of 21 January 2000) on which there are orders."""
+    day = F.datediff(F.to_date("o_orderdate"), F.lit("2000-01-21").cast("date")).cast("long") * 1_000_000
+    return raw(spark, sf_dir, "orders").where(F.pmod(day, F.lit(MOON)) < 1_000_000).select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("Date")).distinct()
 
 
 def seasons(spark, sf_dir) -> DataFrame:
-    """Distributor_ID, Year, Month, Seasonality_Index for every distributor and the years 1995 to 2000."""
-    d = distributors(spark, sf_dir)
-    grid = d.select("Distributor_ID", "s_suppkey", F.explode(F.sequence(F.lit(1995), F.lit(2000))).alias("Year")).select("*", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("Month"))
+    """Distributor_ID, Year, Month, Seasonality_Index for every distributor and every year of the orders."""
+    years = raw(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate")).alias("first"), F.max(F.year("o_orderdate")).alias("last"))
+    d = distributors(spark, sf_dir).crossJoin(F.broadcast(years))  # a single row
+    grid = d.select("Distributor_ID", "s_suppkey", F.explode(F.sequence("first", "last")).alias("Year")).select("*", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("Month"))
     index = F.element_at(F.array(F.lit("Favorable"), F.lit("Moderate"), F.lit("Un-Favorable")), ((F.col("s_suppkey") + F.col("Month")) % 3 + 1).cast("int"))
     return grid.select("Distributor_ID", "Year", "Month", index.alias("Seasonality_Index"))
 

@@ -68,7 +68,7 @@ def test_extract(spark, tmp_path):
     spark.dataSource.register(osm.OsmPbf)
     read = lambda every: spark.read.format("osm_pbf").option("all_nodes", every).load(str(tmp_path / "x.pbf"))
     got = {r.POI_ID: (r.POI_Type, round(r.Latitude, 5), round(r.Longitude, 5)) for r in osm.points(osm.with_way_places(read("false"), read("true"))).collect()}
-    assert got == {"POI_n_1": ("school", 6.9, 79.9), "POI_n_4": ("restaurant", -6.5, 79.95), "POI_w_9": ("apartments", 6.92, 79.92)}
+    assert got == {"POI_000000": ("school", 6.9, 79.9), "POI_000001": ("restaurant", -6.5, 79.95), "POI_000002": ("apartments", 6.92, 79.92)}
 
 
 def test_csv_missing_values_and_order(spark, tmp_path):
