@@ -164,10 +164,10 @@ def _surveyed(share: float):
             got = pattern(votes(w))
             key = b.column(1).to_numpy()
             chosen = np.flatnonzero(key <= limit)
-            x = features(w).astype(np.float16) if len(chosen) else None
             rows = [None] * w.rows
-            for i in chosen:
-                rows[i] = x[i].tobytes()
+            if len(chosen):
+                for i, x in zip(chosen, features(Words(b.column(0).take(pa.array(chosen)))).astype(np.float16), strict=True):
+                    rows[i] = x.tobytes()
             yield pa.RecordBatch.from_arrays([pa.array(got.astype(np.int32)), b.column(1), pa.array(rows, pa.binary())], names=["pattern", "key", "x"])
 
     return run
@@ -213,8 +213,8 @@ def _filtered(weights, bias, threshold):
 def classify(docs: DataFrame, threshold: float = THRESHOLD, rows: int = TRAIN_ROWS) -> DataFrame:
     """Returns doc_id, score (probability of good), kept: one row for each row of ``docs`` (doc_id, text used).
 
-    Null, empty and blank texts get bad votes from all labellers; null ids and repeated rows get rows of their own; an empty table
-    gives an empty table; other columns are ignored.
+    Null, empty and blank texts get bad votes from all labellers; null ids and repeated rows get rows of their own (rows with the same hash may
+    tie at the sample's end: any of them is the same row); very long texts are scored whole; an empty table gives an empty table; other columns are ignored.
     """
     weights, bias, _ = train(docs, rows)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -222,7 +222,7 @@ def classify(docs: DataFrame, threshold: float = THRESHOLD, rows: int = TRAIN_RO
 
 
 def keep_good(docs: DataFrame, threshold: float = THRESHOLD, rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows of ``docs`` that ``classify`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``classify`` keeps, with all their columns; null, empty and blank texts go, ties and empty tables are as there."""
     weights, bias, _ = train(docs, rows)
     return arrow(docs, _filtered(weights, bias, threshold), docs.schema)
 
