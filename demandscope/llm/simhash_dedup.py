@@ -199,7 +199,9 @@ def _link_batches(batches):
 
 def links(fps: DataFrame) -> DataFrame:
     """Distinct fingerprints (fp) to links (a, b) that join exactly the fingerprints reachable over steps of two bits or fewer."""
-    found = arrow(signatures(fps).repartition("sig").sortWithinPartitions("sig", "fp"), _link_batches, "sig long, a long, b long")
+    # a few narrow partitions become 66 times as many rows: dealt out before, by number, so that adaptive execution doesn't join them again
+    spread = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), fps.sparkSession.sparkContext.defaultParallelism)
+    found = arrow(signatures(fps.repartition(spread)).repartition("sig").sortWithinPartitions("sig", "fp"), _link_batches, "sig long, a long, b long")
     found = materialize(found, "simhash-links")
     large = found.where("b IS NULL").select("sig", F.col("a").alias("fp"))
     segment = F.expr(f"shiftrightunsigned(sig, {SEGMENT}) div 64")
