@@ -9,8 +9,6 @@ one version isn't that of another. Words that no template has cut the stream, so
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,7 +21,7 @@ GAP = 60  # words between matches of one chain
 COVERED = 0.6
 #: Fixed phrases of the base search.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
-#: Fixed texts: notices and short grants as licensors publish them, in lower-case words.
+#: Fixed texts: notices, grants and whole short licences as licensors publish them, in lower-case words. Longer texts (whole GPL, Apache) are passed as ``templates``.
 TEMPLATES = {
     "apache-2.0": [
         "licensed under the apache license version 2 0",
@@ -33,6 +31,7 @@ TEMPLATES = {
         "released under the mit license",
         "licensed under the mit license",
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
     ],
     "gpl-3.0": [
         "this work is licensed under the gnu general public license version 3",
@@ -43,8 +42,13 @@ TEMPLATES = {
     "cc-by-4.0": ["this work is licensed under a creative commons attribution 4 0 international license", "licensed under cc by 4 0"],
     "cc-by-sa-4.0": ["this work is licensed under a creative commons attribution sharealike 4 0 international license", "licensed under cc by sa 4 0"],
     "cc-by-nc-4.0": ["this work is licensed under a creative commons attribution noncommercial 4 0 international license", "licensed under cc by nc 4 0"],
-    "bsd": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"],
-    "isc": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"],
+    "bsd": [
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    ],
+    "isc": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"],
+    "zlib": ["this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions the origin of this software must not be misrepresented you must not claim that you wrote the original software altered source versions must be plainly marked as such and must not be misrepresented as being the original software this notice may not be removed or altered from any source distribution"],
     "mpl-2.0": ["this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0"],
     "unlicense": ["this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means"],
     "rights-reserved": ["all rights reserved"],
@@ -151,8 +155,10 @@ class Automaton:
 
 
 class Scanner:
-    def __init__(self):
-        rows = [(label, text.split()) for label, texts in TEMPLATES.items() for text in texts]
+    def __init__(self, templates: dict[str, list[str]] = TEMPLATES):
+        own, offsets = split_words(pa.array([text for texts in templates.values() for text in texts], pa.string()))
+        labels = [label for label, texts in templates.items() for _ in texts]
+        rows = [(label, own[int(a) : int(b)].to_pylist()) for label, a, b in zip(labels, offsets, offsets[1:], strict=False)]
         phrases = [p.split() for p in PHRASES]
         vocabulary = sorted({w for _, ws in rows for w in ws} | {w for p in phrases for w in p})
         code = {w: k for k, w in enumerate(vocabulary)}
@@ -259,30 +265,41 @@ class Scanner:
         return out
 
 
-@cache
-def scanner() -> Scanner:
-    return Scanner()
+_SCANNERS: dict[str, Scanner] = {}
+
+
+def scanner(templates: dict[str, list[str]] | None = None) -> Scanner:
+    """A scanner for the texts; a worker keeps the last one."""
+    name = repr(sorted(templates.items())) if templates else ""
+    if name not in _SCANNERS:
+        _SCANNERS.clear()
+        _SCANNERS[name] = Scanner(templates or TEMPLATES)
+    return _SCANNERS[name]
 
 
 NAMES = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
-def _scanned(batches):
-    for b in slices(batches, "text"):
-        cols = list(zip(*scanner().scan(b.column(1)), strict=True))
-        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
-        yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["doc_id", *NAMES])
+def _scanned(templates):
+    def run(batches):
+        for b in slices(batches, "text"):
+            cols = list(zip(*scanner(templates).scan(b.column(1)), strict=True))
+            kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["doc_id", *NAMES])
+
+    return run
 
 
-def scan_licenses(docs: DataFrame) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:
     """Returns doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score: one row for each row of ``docs`` (doc_id, text used).
 
     Null, empty and wordless texts have no words, no places and score 0; null ids and repeated rows give rows of their own; an empty table
-    gives an empty table; other columns are ignored; texts are scanned whole.
+    gives an empty table; other columns are ignored; texts are scanned whole. ``templates`` (label to texts) replaces the texts above; of labels with
+    the same words covered the first counts first.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
-    return arrow(docs.select("doc_id", "text"), _scanned, schema)
+    return arrow(docs.select("doc_id", "text"), _scanned(templates), schema)
 
 
 def op6_license_scan(spark, sf_dir):
