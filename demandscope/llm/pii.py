@@ -96,6 +96,8 @@ _SHAPES = (
     ("is mixed", re.compile(r"(?=.*[A-Za-z])(?=.*[0-9])[A-Za-z0-9_-]{16,}")),
     ("is date", re.compile(r"[0-9]{1,4}[-./][0-9]{1,2}[-./][0-9]{1,4}")),
     ("is decimal", re.compile(r"[0-9]+\.[0-9]+")),
+    ("begins as date", re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[ T].*)?", re.S)),
+    ("is time", re.compile(r"[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?")),
 )
 _BEFORE = (
     ("after secret", re.compile(r"(?:pass|pwd|token|secret|key|auth)\w*\W{0,5}$", re.I)),
@@ -289,7 +291,7 @@ def sentences(count: int = 240, seed: int = 11) -> list[tuple[str, list[tuple[st
         "phone": lambda: pick((f"+{rnd.randint(1, 99)} ({num(3)}) {num(3)}-{num(4)}", f"+{rnd.randint(1, 99)} {num(3)} {num(3)} {num(4)}", f"({num(3)}) {num(3)}-{num(4)}", f"+{num(11)}")),
         "secret": lambda: pick((f"AKIA{''.join(pick('ABCDEFGHJKLMNPQRSTUVWXYZ234567') for _ in range(16))}", "".join(pick("0123456789abcdef") for _ in range(pick((18, 32, 40)))))),
     }
-    plain = (lambda: f"{rnd.randint(1, 9)}.{rnd.randint(0, 9)}", lambda: num(rnd.randint(1, 6)), lambda: f"{rnd.randint(1990, 2030)}-{rnd.randint(10, 12)}-{rnd.randint(10, 28)}", lambda: f"{word()}{num(1)}", lambda: "9" + num(11), lambda: f"{num(3)}.{num(3)}.{num(2)}", lambda: f"@{word()}", lambda: f"{num(1)}/{num(2)}", lambda: f"${num(2)}.{num(2)}")
+    plain = (lambda: f"{rnd.randint(1, 9)}.{rnd.randint(0, 9)}", lambda: num(rnd.randint(1, 6)), lambda: f"{rnd.randint(1990, 2030)}-{rnd.randint(10, 12)}-{rnd.randint(10, 28)}", lambda: f"{rnd.randint(1990, 2030)}-{rnd.randint(10, 12)}-{rnd.randint(10, 28)}{pick(' T')}{rnd.randint(10, 23)}:{rnd.randint(10, 59)}:{rnd.randint(10, 59)}", lambda: f"{rnd.randint(10, 23)}:{rnd.randint(10, 59)}", lambda: f"{word()}{num(1)}", lambda: "9" + num(11), lambda: f"{num(3)}.{num(3)}.{num(2)}", lambda: f"@{word()}", lambda: f"{num(1)}/{num(2)}", lambda: f"${num(2)}.{num(2)}")
     lead = {"email": ("", "mail ", "contact: "), "ip": ("", "host ", "from "), "card": ("", "card ", "visa: "), "phone": ("", "tel ", "call: "), "secret": ("password=", 'token = "', "key: ", "secret ")}
     out = []
     for _ in range(count):
