@@ -361,17 +361,19 @@ def _labels(page: Page, spans) -> list[bool]:
 def _logistic(rows: list[list[str]], y: list[int], steps: int = 500, rate: float = 2.0, ridge: float = 5e-5) -> dict[str, float]:
     """Weights of features; both classes count the same in all."""
     names = sorted({f for r in rows for f in r})
-    place = {f: k for k, f in enumerate(names)}
-    x = np.zeros((len(rows), len(names)), dtype=np.float32)
+    place, most = {f: k for k, f in enumerate(names)}, max(map(len, rows))
+    at = np.full((len(rows), most), len(names))  # the features of each row, filled up with one that weighs nothing
     for k, r in enumerate(rows):
-        x[k, [place[f] for f in r]] = 1
-    t, w, before = np.array(y, dtype=np.float32), np.zeros(len(names), np.float32), np.zeros(len(names), np.float32)
-    each = np.where(t > 0, 0.5 / t.sum(), 0.5 / (1 - t).sum()).astype(np.float32)
+        at[k, : len(r)] = [place[f] for f in r]
+    t, w, before = np.array(y, dtype=float), np.zeros(len(names) + 1), np.zeros(len(names) + 1)
+    each = np.where(t > 0, 0.5 / t.sum(), 0.5 / (1 - t).sum())
     for k in range(steps):
-        at = w + k / (k + 3) * (w - before)
-        p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
-        before, w = w, at - rate * (x.T @ ((p - t) * each) + ridge * at)
-    return {f: round(v, 4) for f, v in zip(names, w.tolist(), strict=True)}
+        ahead = w + k / (k + 3) * (w - before)
+        p = 1 / (1 + np.exp(-np.clip(ahead[at].sum(axis=1), -30, 30)))
+        g = np.bincount(at.ravel(), weights=np.repeat((p - t) * each, most), minlength=len(names) + 1)
+        before, w = w, ahead - rate * (g + ridge * ahead)
+        w[-1] = 0
+    return {f: round(v, 4) for f, v in zip(names, w[:-1].tolist(), strict=True)}
 
 
 @cache
