@@ -133,7 +133,11 @@ def fit(df: DataFrame, features: Sequence[str], target: str = "ln_volume", most:
 
 
 def lbfgs(objective, start: np.ndarray, most: int, tolerance: float, memory: int = 10) -> np.ndarray:
-    """Limited-memory quasi-Newton minimisation with a backtracking step; raises RuntimeError if the gradient stays large."""
+    """Limited-memory quasi-Newton minimisation with a backtracking step.
+
+    It ends where the gradient is below ``tolerance``, or where a step improves the value by less than a billionth of it, whatever the gradient; it raises
+    RuntimeError where no step lowers the value although the gradient is large, and after ``most`` steps.
+    """
     p = start
     value, g = objective(p)
     steps: list[tuple[np.ndarray, np.ndarray]] = []
