@@ -70,7 +70,7 @@ class PieceEncoder:
         self.clear()
 
     def clear(self):
-        self.known = pa.array([], pa.large_string())  # pieces; starts and counts of their ids in flat stand at the same places
+        self.known = pa.array([], pa.string())  # pieces; starts and counts of their ids in flat stand at the same places
         self.starts = self.counts = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.uint32)
 
@@ -93,13 +93,14 @@ class PieceEncoder:
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(n) - n])
         self.counts = np.concatenate([self.counts, n])
         self.flat = np.concatenate([self.flat, *ids])
-        self.known = pa.concat_arrays([self.known, pa.array(plain + odd, pa.large_string())])
+        self.known = pa.concat_arrays([self.known, pa.array(plain + odd, pa.string())])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per text); a null text has none."""
-        if self.known.nbytes + self.starts.nbytes + self.counts.nbytes + self.flat.nbytes > CACHED_BYTES:
+        held = self.known.nbytes + self.starts.nbytes + self.counts.nbytes + self.flat.nbytes
+        if held > CACHED_BYTES or held + texts.nbytes >= 1 << 31:  # places of characters in an array are 32-bit numbers
             self.clear()
-        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        texts = pc.fill_null(texts, "")
         if not self.mark or not pc.any(pc.match_substring(texts, self.opening)).as_py():
             texts = pc.ascii_lower(texts) if self._lowers() else texts
         pieces = pc.ascii_split_whitespace(texts)

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from demandscope.llm import decontaminate, token_counts, token_ids
+from demandscope.llm import decontaminate, licenses, token_counts, token_ids
 
 
 def test_pieces_are_cached_up_to_so_many_bytes(monkeypatch):
@@ -21,6 +21,22 @@ def test_pieces_are_cached_up_to_so_many_bytes(monkeypatch):
         assert len(enc.known) <= 81 + (k > 0) * 400
 
 
+def test_slices_of_larger_arrays():
+    """Buffers with texts before and after the slice, and characters of several bytes."""
+    enc, rnd = token_ids.PieceEncoder(token_ids.vocabulary_path()), random.Random(8)
+    texts = [None if k % 50 == 7 else " ".join("".join(rnd.choice("aeéßñ中😀xyz") for _ in range(rnd.randint(1, 9))) for _ in range(rnd.randint(0, 60))) for k in range(3000)]
+    every = pa.array(texts)
+    for at in range(0, 3000, 700):
+        part = every.slice(at, 700)
+        ids, n = enc.encode(part)
+        place = 0
+        for k, t in enumerate(texts[at : at + 700]):
+            assert ids[place : place + n[k]].tolist() == enc.tokenizer.encode(t or "", add_special_tokens=False).ids
+            place += n[k]
+        words, offsets = licenses.split_words(part)
+        assert [words[int(a) : int(b)].to_pylist() for a, b in zip(offsets, offsets[1:], strict=False)] == [(t or "").split() for t in texts[at : at + 700]]
+
+
 def test_tries_make_way_and_long_words_are_rolled(monkeypatch):
     path, rnd = token_counts.vocabulary_path(), random.Random(3)
     model = token_counts.unigram(path)
