@@ -68,10 +68,13 @@ def _queued(docs: DataFrame, weights, budget_percent: int, max_epochs: int) -> D
     run = F.col("size") * F.col("n")
     parts = base.groupBy("src", "part").agg(F.sum(run).alias("part_size"))
     goal = targets(parts.groupBy("src").agg(F.sum("part_size").alias("source_size")), weights, budget_percent, max_epochs)
-    before = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("before", F.coalesce(F.sum("part_size").over(before), F.lit(0)))
-    parts = parts.join(goal.withColumnRenamed("src", "g_src"), F.col("src").eqNullSafe(F.col("g_src"))).drop("g_src", "part_size")
-    parts = parts.withColumnsRenamed({"src": "p_src", "part": "p_part"})
+    # sums before a range in two steps, so that no task sees more than 256 ranges of a source
+    earlier = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("head", F.substring("part", 1, 2)).withColumn("near", F.coalesce(F.sum("part_size").over(earlier("src", "head", "part")), F.lit(0)))
+    heads = parts.groupBy("src", "head").agg(F.sum("part_size").alias("head_size")).withColumn("far", F.coalesce(F.sum("head_size").over(earlier("src", "head")), F.lit(0)))
+    heads = heads.join(goal.withColumnRenamed("src", "g_src"), F.col("src").eqNullSafe(F.col("g_src"))).drop("g_src", "head_size").withColumnsRenamed({"src": "h_src", "head": "h_head"})
+    parts = parts.join(heads, F.col("src").eqNullSafe(F.col("h_src")) & (F.col("head") == F.col("h_head"))).withColumn("before", F.col("near") + F.col("far"))
+    parts = parts.drop("part_size", "head", "near", "far", "h_src", "h_head").withColumnsRenamed({"src": "p_src", "part": "p_part"})
     inside = Window.partitionBy("src", "part").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
     queued = base.withColumn("cum", F.sum(run).over(inside)).join(parts, F.col("src").eqNullSafe(F.col("p_src")) & (F.col("part") == F.col("p_part")))
     queued = materialize(queued.select("doc_id", "src", "key", "size", "n", "source_size", "target", "budget", "rank", (F.col("cum") + F.col("before")).alias("cum")), "mix-queue")
