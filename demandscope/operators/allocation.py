@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import clip, mean, ratio, round_half_even, total
+from ..functions.numeric import clip, mean, number, ratio, round_half_even, total
 from ..session import once
+from .features import by_outlet
 
 BUDGET, RESPONSE, TARGET_MONTH, STEEPEST = 5_000_000.0, 0.0005, 1, 50.0
 RANGES = 64  # of a factor of e
@@ -31,9 +32,22 @@ def baselines(transactions: DataFrame, month: int = TARGET_MONTH) -> DataFrame:
 
 def prices(transactions: DataFrame) -> DataFrame:
     """Price_Per_Liter: sum of bills over sum of volumes, the overall price where an outlet has no volume."""
-    own = transactions.groupBy("Outlet_ID").agg(total(F.col("Total_Bill_Value")).alias("bill"), total(F.col("Volume_Liters")).alias("vol"))
+    return _prices(transactions.groupBy("Outlet_ID").agg(total(F.col("Total_Bill_Value")).alias("bill"), total(F.col("Volume_Liters")).alias("vol"))).select("Outlet_ID", "Price_Per_Liter")
+
+
+def _prices(own: DataFrame) -> DataFrame:
+    """``own`` with Price_Per_Liter of its ``bill`` and ``vol``."""
     every = own.agg(ratio(total(F.col("bill")), total(F.col("vol"))).alias("every"))
-    return own.crossJoin(F.broadcast(every)).select("Outlet_ID", F.coalesce(ratio(F.col("bill"), F.col("vol")), F.col("every")).alias("Price_Per_Liter"))  # a single row
+    return own.crossJoin(F.broadcast(every)).withColumn("Price_Per_Liter", F.coalesce(ratio(F.col("bill"), F.col("vol")), F.col("every"))).drop("every")  # a single row
+
+
+def histories(transactions: DataFrame, month: int = TARGET_MONTH) -> DataFrame:
+    """``baselines``, ``prices`` and the first Distributor_ID of each outlet, after one exchange of the transactions."""
+    v, first = F.col("v"), F.struct("Year", "Month", "Distributor_ID")
+    lines = by_outlet(transactions.select("Outlet_ID", "Year", "Month", "Distributor_ID", number("Volume_Liters").alias("l"), number("Total_Bill_Value").alias("b")))
+    months = lines.groupBy("Outlet_ID", "Year", "Month").agg(total(F.col("l")).alias("v"), F.sum("l").alias("l"), F.sum("b").alias("b"), F.min(F.when(F.col("Distributor_ID").isNotNull(), first)).alias("f"))
+    own = mean(F.when(F.col("Month") == month, v))
+    return _prices(once(months.groupBy("Outlet_ID").agg(F.coalesce(own, mean(v), F.lit(0.0)).alias("Y_historical"), total(F.col("b")).alias("bill"), total(F.col("l")).alias("vol"), F.min("f")["Distributor_ID"].alias("Distributor_ID")))).drop("bill", "vol")
 
 
 def problem(history: DataFrame, predictions: DataFrame, b: float = RESPONSE) -> DataFrame:
@@ -80,10 +94,9 @@ def allocate(rows: DataFrame, budget: float = BUDGET, b: float = RESPONSE) -> Da
 
 
 def spend_allocation(transactions: DataFrame, predictions: DataFrame, budget: float = BUDGET, b: float = RESPONSE, code: str = "W", month: int = TARGET_MONTH) -> DataFrame:
-    """Allocation over the outlets of a province."""
-    own = in_province(transactions, code)
-    history = baselines(own, month).join(prices(own), "Outlet_ID")
-    return allocate(once(problem(history, predictions, b)), budget, b)  # the search for the level reads the rows several times
+    """Allocation over the outlets of a province. ``transactions`` may be ``histories`` of those in the province."""
+    history = transactions if "Y_historical" in transactions.columns else histories(in_province(transactions, code), month)
+    return allocate(once(problem(history.drop("Distributor_ID"), predictions, b)), budget, b)  # the search for the level reads the rows several times
 
 
 def spend_by(allocated: DataFrame, column: str, label: str | None = None) -> DataFrame:

@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import mean, number, ratio, round_half_even, share, total
+from ..functions.numeric import SUM_DIGITS, mean, number, ratio, round_half_even, share, total
+from .features import by_outlet
 from .frontier import INTERCEPT, Frontier
 
 #: Fixed mean number of holidays of the target month.
@@ -36,12 +37,41 @@ def historical_peaks(transactions: DataFrame, month: int = TARGET_MONTH) -> Data
     return peaks.select("Outlet_ID", "Overall_Max", F.coalesce("m", "Overall_Max").alias("Jan_Max"))
 
 
+def histories(transactions: DataFrame, month: int = TARGET_MONTH) -> DataFrame:
+    """What predictions and their check take from the transactions, an outlet a row, after one exchange of them.
+
+    First_Sale: Year, Month, Distributor_ID of the first row of the gold table; Distributor_ID: the first that isn't missing; Overall_Max and Jan_Max as of ``historical_peaks``; hist_max
+    and hist_mean of monthly volumes.
+    """
+    keys, v = ["Outlet_ID", "Year", "Month", "Distributor_ID"], F.col("v")
+    lines = by_outlet(transactions.select(*keys, number("Volume_Liters").alias("v")))
+    panel = lines.groupBy(*keys).agg(F.sum("v").alias("v"), F.sum(F.when(v > 0, v)).alias("up"))
+    dated = F.col("Outlet_ID").isNotNull() & F.col("Year").isNotNull() & F.col("Month").isNotNull()
+    months = panel.groupBy(*keys[:3]).agg(total(v).alias("v"), F.round(F.sum("up"), SUM_DIGITS).alias("up"), F.min("Distributor_ID").alias("any"), F.min(F.when(dated & (F.round("v", SUM_DIGITS) > 0), F.col("Distributor_ID"))).alias("seller"))
+    sale = F.when(F.col("seller").isNotNull(), F.struct("Year", "Month", F.col("seller").alias("Distributor_ID")))
+    # of months without positive sales there is no peak
+    return months.groupBy("Outlet_ID").agg(
+        F.min(sale).alias("First_Sale"), F.min_by("any", F.when(F.col("any").isNotNull(), F.struct("Year", "Month"))).alias("Distributor_ID"),
+        F.max("up").alias("Overall_Max"), F.coalesce(F.max(F.when(F.col("Month") == month, F.col("up"))), F.max("up")).alias("Jan_Max"), F.max("v").alias("hist_max"), mean(v).alias("hist_mean"),
+    )
+
+
+def first_sales(history: DataFrame) -> DataFrame:
+    """Keys of the first gold row of each outlet that has one."""
+    return history.where("First_Sale IS NOT NULL").select("Outlet_ID", "First_Sale.*")
+
+
+def static_features(features: Sequence[str]) -> list[str]:
+    """Those that an outlet's first gold row tells; season and holidays are the target month's."""
+    return [f for f in features if not f.startswith(SEASON) and f not in ("Holiday_Count", INTERCEPT)]
+
+
 def target_features(gold: DataFrame, transactions: DataFrame, season: DataFrame, features: Sequence[str], month: int = TARGET_MONTH, holidays: float = TARGET_HOLIDAYS) -> DataFrame:
-    """One row an outlet: its first static features, the season of its first distributor in the target month, constant holidays."""
+    """One row an outlet: its first static features, the season of its first distributor in the target month, constant holidays. ``transactions`` may be their ``histories``."""
     seasons = {f: f.removeprefix(SEASON) for f in features if f.startswith(SEASON)}
-    static = [f for f in features if f not in (*seasons, "Holiday_Count", INTERCEPT)]
-    rows = first_per_group(gold, "Outlet_ID", static, ["Year", "Month", "Distributor_ID"])
-    distributor = first_per_group(transactions, "Outlet_ID", ["Distributor_ID"], ["Year", "Month", "Distributor_ID"])
+    rows = first_per_group(gold, "Outlet_ID", static_features(features), ["Year", "Month", "Distributor_ID"])
+    made = "First_Sale" in transactions.columns
+    distributor = transactions.select("Outlet_ID", "Distributor_ID") if made else first_per_group(transactions, "Outlet_ID", ["Distributor_ID"], ["Year", "Month", "Distributor_ID"])
     then = first_per_group(season.where(F.col("Month") == month), "Distributor_ID", ["Seasonality_Index"], ["Year"])
     found = rows.join(distributor, "Outlet_ID", "left").join(then, "Distributor_ID", "left")
     dummies = {c: F.coalesce((F.col("Seasonality_Index") == s).cast("int"), F.lit(0)) for c, s in seasons.items()}
@@ -52,9 +82,11 @@ def latent_potential(gold: DataFrame, transactions: DataFrame, season: DataFrame
     """Outlet_ID, Group_Frontier, Jan_Max, Overall_Max, Maximum_Monthly_Liters.
 
     The ceiling is the larger of frontier and own peak, lifted by the mean inefficiency of the half-normal model, at 2 places and 0.01 at least.
+    ``transactions`` may be their ``histories``, and ``gold`` may then have an outlet's first row only.
     """
     x = target_features(gold, transactions, season, model.features, month)
-    out = x.select("Outlet_ID", model.potential().alias("Group_Frontier")).join(historical_peaks(transactions, month), "Outlet_ID", "left")
+    peaks = transactions.select("Outlet_ID", "Overall_Max", "Jan_Max") if "First_Sale" in transactions.columns else historical_peaks(transactions, month)
+    out = x.select("Outlet_ID", model.potential().alias("Group_Frontier")).join(peaks, "Outlet_ID", "left")
     lift = math.exp(model.sigma_u * math.sqrt(2 / math.pi))
     # a missing peak must not pass for a ceiling
     ceiling = F.when(F.col("Jan_Max").isNotNull(), F.greatest("Group_Frontier", "Jan_Max"))
@@ -62,15 +94,17 @@ def latent_potential(gold: DataFrame, transactions: DataFrame, season: DataFrame
 
 
 def _ratios(predictions: DataFrame, transactions: DataFrame) -> DataFrame:
-    months = transactions.groupBy("Outlet_ID", "Year", "Month").agg(total(F.col("Volume_Liters")).alias("v"))
-    history = months.groupBy("Outlet_ID").agg(F.max("v").alias("hist_max"), mean(F.col("v")).alias("hist_mean"))
-    both = predictions.select("Outlet_ID", "Maximum_Monthly_Liters").join(history, "Outlet_ID")
+    history = transactions
+    if "First_Sale" not in transactions.columns:
+        months = transactions.groupBy("Outlet_ID", "Year", "Month").agg(total(F.col("Volume_Liters")).alias("v"))
+        history = months.groupBy("Outlet_ID").agg(F.max("v").alias("hist_max"), mean(F.col("v")).alias("hist_mean"))
+    both = predictions.select("Outlet_ID", "Maximum_Monthly_Liters").join(history.select("Outlet_ID", "hist_max", "hist_mean"), "Outlet_ID")
     p = F.col("Maximum_Monthly_Liters")
     return both.withColumns({"ratio_to_max": ratio(p, F.col("hist_max")), "ratio_to_mean": ratio(p, F.col("hist_mean"))})
 
 
 def ceiling_verification(predictions: DataFrame, transactions: DataFrame) -> DataFrame:
-    """One row: outlets evaluated and unmatched, percent at or above mean and maximum, missing and non-positive predictions, smallest and largest."""
+    """One row: outlets evaluated and unmatched, percent at or above mean and maximum, missing and non-positive predictions, smallest and largest. ``transactions`` may be their ``histories``."""
     p = F.col("Maximum_Monthly_Liters")
     found = _ratios(predictions, transactions).agg(
         F.count("*").alias("evaluated"), (share(p >= F.col("hist_max")) * 100).alias("pct_above_max"), (share(p >= F.col("hist_mean")) * 100).alias("pct_above_mean"),
