@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import SUM_DIGITS, mean, number, ratio, round_half_even, share, total
-from .features import by_outlet
+from .features import LEAST_SUM, PANEL_KEYS, by_outlet, month_number
 from .frontier import INTERCEPT, Frontier
 
 #: Fixed mean number of holidays of the target month.
@@ -41,19 +41,26 @@ def histories(transactions: DataFrame, month: int = TARGET_MONTH) -> DataFrame:
     """What predictions and their check take from the transactions, an outlet a row, after one exchange of them.
 
     First_Sale: Year, Month, Distributor_ID of the first row of the gold table; Distributor_ID: the first that isn't missing; Overall_Max and Jan_Max as of ``historical_peaks``; hist_max
-    and hist_mean of monthly volumes.
+    and hist_mean of monthly volumes. Sums by distributor are made of the months that can hold the first sale: until the first one with a sale and nothing taken back, or all.
     """
-    keys, v = ["Outlet_ID", "Year", "Month", "Distributor_ID"], F.col("v")
-    lines = by_outlet(transactions.select(*keys, number("Volume_Liters").alias("v")))
-    panel = lines.groupBy(*keys).agg(F.sum("v").alias("v"), F.sum(F.when(v > 0, v)).alias("up"))
-    dated = F.col("Outlet_ID").isNotNull() & F.col("Year").isNotNull() & F.col("Month").isNotNull()
-    months = panel.groupBy(*keys[:3]).agg(total(v).alias("v"), F.round(F.sum("up"), SUM_DIGITS).alias("up"), F.min("Distributor_ID").alias("any"), F.min(F.when(dated & (F.round("v", SUM_DIGITS) > 0), F.col("Distributor_ID"))).alias("seller"))
-    sale = F.when(F.col("seller").isNotNull(), F.struct("Year", "Month", F.col("seller").alias("Distributor_ID")))
+    keys, v, at = list(PANEL_KEYS), F.col("v"), month_number()
+    lines = by_outlet(transactions.select(*keys, number("Volume_Liters").alias("v")).where("Outlet_ID IS NOT NULL"))
+    dated = F.col("Year").isNotNull() & F.col("Month").isNotNull() & F.col("Distributor_ID").isNotNull()
+    # numbers only, so that nothing is sorted by text
+    months = lines.groupBy(*keys[:3]).agg(total(v).alias("v"), F.round(F.sum(F.when(v > 0, v)), SUM_DIGITS).alias("up"), F.count_if(dated & (v >= LEAST_SUM)).alias("sold"), F.count_if(dated & (v < 0)).alias("back"))
     # of months without positive sales there is no peak
-    return months.groupBy("Outlet_ID").agg(
-        F.min(sale).alias("First_Sale"), F.min_by("any", F.when(F.col("any").isNotNull(), F.struct("Year", "Month"))).alias("Distributor_ID"),
-        F.max("up").alias("Overall_Max"), F.coalesce(F.max(F.when(F.col("Month") == month, F.col("up"))), F.max("up")).alias("Jan_Max"), F.max("v").alias("hist_max"), mean(v).alias("hist_mean"),
-    )
+    told = {
+        "Overall_Max": F.max("up"), "Jan_Max": F.coalesce(F.max(F.when(F.col("Month") == month, F.col("up"))), F.max("up")), "hist_max": F.max("v"), "hist_mean": mean(v),
+        "__until": F.min(F.when((F.col("sold") > 0) & (F.col("back") == 0), at)),
+    }
+    own = months.groupBy("Outlet_ID").agg(*[c.alias(k) for k, c in told.items()]).withColumnRenamed("Outlet_ID", "__own")
+    # a row an outlet where its lines are already, hence the hint; each outlet keeps lines
+    early = lines.join(own.hint("shuffle_hash"), (F.col("Outlet_ID") == F.col("__own")) & F.coalesce(at <= F.col("__until"), F.lit(True)))
+    known = [c for c in told if not c.startswith("__")]
+    panel = early.groupBy(*keys).agg(F.sum("v").alias("v"), *[F.max(c).alias(c) for c in known])
+    sale = F.when(dated & (F.round("v", SUM_DIGITS) > 0), F.struct("Year", "Month", "Distributor_ID"))
+    first = F.when(F.col("Distributor_ID").isNotNull(), F.struct("Year", "Month", "Distributor_ID"))
+    return panel.groupBy("Outlet_ID").agg(F.min(sale).alias("First_Sale"), F.min(first)["Distributor_ID"].alias("Distributor_ID"), *[F.max(c).alias(c) for c in known])
 
 
 def first_sales(history: DataFrame) -> DataFrame:
