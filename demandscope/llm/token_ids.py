@@ -7,12 +7,14 @@ first. Half of all ids thus take a byte, and a block is decoded without branches
 present. Parquet holds the bytes because Spark's commit protocol then covers lost and repeated tasks on any store.
 
 Texts are tokenized once. Pieces between ASCII white space never influence each other in the vocabulary used, so distinct pieces are
-encoded by the library in bulk and kept in a bounded cache; ids of a text are then gathered with numpy. Counting, ranking and
-writing read the ids back from a table in the shared folder.
+encoded by the library in bulk and kept in a bounded cache; ids of a text are then gathered with numpy. The vocabulary used also parts a Latin
+letter or digit from the ASCII signs that follow it, so such signs at a piece's end are a piece of their own, and pieces of Latin letters only are words,
+each of which ends with an id of its own kind: these are encoded in one text with spaces. Counting, ranking and writing read the ids back from a table in the shared folder.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
@@ -30,6 +32,14 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_IDS = 1 << 18
 CACHED_BYTES = 48 << 20  # of a worker's cached pieces and their ids
+#: What a vocabulary must do for pieces to be parted further: its steps before the merges, and the mark at the end of words.
+PARTING = {
+    "normalizer": ["NFC", r"\s+", "Lowercase"], "pre_tokenizer": [r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+", "ByteLevel"], "end_of_word_suffix": "</w>",
+}
+LATIN = "a-zA-ZÀ-ÖØ-öø-įı-ɏ"  # letters for every reader of Unicode; İ becomes two characters in lower case
+WORDS = f"^[{LATIN}]+$"
+SIGNED = f"([0-9{LATIN}])[!-&(-/:-@\\[-`{{-~]+$"  # without the apostrophe, which can begin an ending
+SIGNS = f"(?s)^.*[0-9{LATIN}]"
 #: Which of the 4 x 4 bytes of a group of four ids are present, for each control byte.
 PRESENT = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3)[:, :, None] >= np.arange(4)
 
@@ -52,6 +62,18 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.view("<u4").ravel()
 
 
+def _parting(vocabulary: dict) -> bool:
+    steps = {k: [x.get("pattern", {}).get("Regex", x["type"]) for x in (vocabulary[k] or {}).get(f"{k}s".replace("_", ""), [])] for k in ("normalizer", "pre_tokenizer")}
+    return steps | {"end_of_word_suffix": vocabulary["model"].get("end_of_word_suffix")} == PARTING
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches ``which`` of ``flat`` one after the other, and where each ends."""
+    n = counts[which]
+    ends = np.cumsum(n)
+    return flat[np.repeat(starts[which] - ends + n, n) + np.arange(ends[-1] if len(n) else 0)], ends
+
+
 class PieceEncoder:
     """Ids of many texts through a cache of pieces between white space.
 
@@ -67,6 +89,10 @@ class PieceEncoder:
         self.mark, self.mark_id = (next(((t.content, i) for i, t in sorted(special.items(), reverse=True)), ("", -1))) if special else ("", -1)
         self.opening = self.mark[:2]
         self.size = self.tokenizer.get_vocab_size()
+        self.parts = _parting(json.loads(self.tokenizer.to_str()))
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.last[[i for x, i in vocabulary.items() if x.endswith(PARTING["end_of_word_suffix"])]] = True
         self.clear()
 
     def clear(self):
@@ -74,26 +100,50 @@ class PieceEncoder:
         self.starts = self.counts = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.uint32)
 
-    def _add(self, pieces: list[str]) -> None:
-        # a special token that no piece holds keeps pieces apart in one long text, which the library encodes fastest
-        plain = [x for x in pieces if self.opening not in x] if self.mark else []
-        odd = [x for x in pieces if self.opening in x] if self.mark else pieces
-        groups = [plain[i : i + 128] for i in range(0, len(plain), 128)]
+    def _add(self, pieces: pa.Array) -> np.ndarray:
+        """Encodes new pieces; their places among the known ones."""
+        words = pc.match_substring_regex(pieces, WORDS) if self.parts else pa.array(np.zeros(len(pieces), bool))
+        # a special token that no piece holds keeps pieces apart in one long text, which the library encodes faster than each alone
+        odd = pc.and_not(pc.match_substring(pieces, self.opening) if self.mark else pa.array(np.ones(len(pieces), bool)), words)
+        kinds = np.where(words, 0, np.where(odd, 2, 1))
+        order = np.argsort(kinds, kind="stable")
+        told = pieces.take(pa.array(order))
+        some = told.to_pylist()
+        n_words, n_plain = np.count_nonzero(kinds == 0), np.count_nonzero(kinds == 1)
+        groups = [some[i : min(i + 128, until)] for start, until in ((0, n_words), (n_words, n_words + n_plain)) for i in range(start, until, 128)]
+        joined = [(" " if k * 128 < n_words else self.mark).join(g) for k, g in enumerate(groups)]
         counts: list[np.ndarray] = []
         ids: list[np.ndarray] = []
-        for e, g in zip(self.tokenizer.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False), groups, strict=True):
+        done = 0
+        for e, g in zip(self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), groups, strict=True):
             x = np.array(e.ids, dtype=np.uint32)
-            counts.append(np.diff(np.concatenate([[-1], np.flatnonzero(x == self.mark_id), [len(x)]])) - 1)
-            ids.append(x[x != self.mark_id])
+            if done < n_words:
+                counts.append(np.diff(np.flatnonzero(self.last[x]), prepend=-1))
+            else:
+                counts.append(np.diff(np.concatenate([[-1], np.flatnonzero(x == self.mark_id), [len(x)]])) - 1)
+                x = x[x != self.mark_id]
+            ids.append(x)
             assert len(counts[-1]) == len(g)
-        for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False):
+            done += len(g)
+        for e in self.tokenizer.encode_batch_fast(some[done:], add_special_tokens=False):
             ids.append(np.array(e.ids, dtype=np.uint32))
             counts.append(np.array([len(e.ids)]))
         n = np.concatenate(counts)
+        places = np.empty(len(order), np.int64)
+        places[order] = len(self.known) + np.arange(len(order))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(n) - n])
         self.counts = np.concatenate([self.counts, n])
         self.flat = np.concatenate([self.flat, *ids])
-        self.known = pa.concat_arrays([self.known, pa.array(plain + odd, pa.string())])
+        self.known = pa.concat_arrays([self.known, told])
+        return places
+
+    def _parted(self, pieces: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Pieces without the signs at their end, then those signs; and which pieces have some."""
+        stems = pc.replace_substring_regex(pieces, SIGNED, r"\1")
+        signed = pc.not_equal(pc.binary_length(stems), pc.binary_length(pieces))
+        if self.mark:
+            signed = pc.and_not(signed, pc.match_substring(pieces, self.opening))
+        return pa.concat_arrays([pc.if_else(signed, stems, pieces), pc.replace_substring_regex(pieces.filter(signed), SIGNS, "")]), signed.to_numpy(zero_copy_only=False)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per text); a null text has none."""
@@ -105,14 +155,19 @@ class PieceEncoder:
             texts = pc.ascii_lower(texts) if self._lowers() else texts
         pieces = pc.ascii_split_whitespace(texts)
         coded = pieces.values.dictionary_encode()
-        place = pc.index_in(coded.dictionary, value_set=self.known)
-        if place.null_count:
-            self._add(coded.dictionary.filter(pc.is_null(place)).to_pylist())
-            place = pc.index_in(coded.dictionary, value_set=self.known)
-        which = place.to_numpy().astype(np.int64)[coded.indices.to_numpy()]
-        n = self.counts[which]
-        ends = np.cumsum(n)
-        ids = self.flat[np.repeat(self.starts[which] - ends + n, n) + np.arange(ends[-1] if len(n) else 0)]
+        some = coded.dictionary
+        parts, signed = self._parted(some) if self.parts else (some, np.zeros(len(some), bool))
+        parted = parts.dictionary_encode()
+        found = pc.index_in(parted.dictionary, value_set=self.known)
+        place = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        if found.null_count:
+            place[place < 0] = self._add(parted.dictionary.filter(pc.is_null(found)))
+        at = place[parted.indices.to_numpy()]
+        # the ids of each piece: of its stem, then of its signs
+        flat, _ = _gathered(self.flat, self.starts, self.counts, np.insert(at[: len(some)], np.flatnonzero(signed) + 1, at[len(some) :]))
+        counts = self.counts[at[: len(some)]]
+        counts[signed] += self.counts[at[len(some) :]]
+        ids, ends = _gathered(flat, np.cumsum(counts) - counts, counts, coded.indices.to_numpy())
         upto = np.concatenate([[0], ends])[pieces.offsets.to_numpy()]
         return ids, np.diff(upto)
 
