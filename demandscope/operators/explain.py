@@ -48,7 +48,7 @@ def impacts(rows: DataFrame, model: Frontier, missing: float = 0.0) -> Column:
             continue
         v, pct = _value(rows, f, missing), (F.exp(F.lit(b)) - 1.0) * 100.0
         parts.append(F.struct((-(v * pct)).alias("o"), F.lit(f).alias("feature_name"), F.lit(b).alias("coefficient"), pct.alias("percentage_impact"), v.alias("feature_value"), (v * pct).alias("local_driver_strength")))
-    return F.transform(F.array_sort(F.array(*parts)), lambda x: x.dropFields("o"))
+    return F.transform(F.sort_array(F.array(*parts)), lambda x: x.dropFields("o"))
 
 
 def driver_impacts(rows: DataFrame, model: Frontier, key: Sequence[str] = ("Outlet_ID",)) -> DataFrame:
@@ -61,7 +61,7 @@ def top_drivers_legacy(rows: DataFrame, model: Frontier, n: int = 2, actual: str
     """The older explanation: contribution is value times coefficient (1 for a feature that isn't there); potential is raised to the actual."""
     parts = [F.struct((-(_value(rows, f, 1.0) * b)).alias("o"), F.lit(f).alias("feature_name"), (_value(rows, f, 1.0) * b).alias("contribution")) for f, b in zip(model.features, model.beta, strict=True) if f != INTERCEPT]
     p, a = model.potential(), F.col(actual)
-    out = rows.select("Outlet_ID", F.greatest(p, a).alias("predicted_potential"), F.when(a > p, F.lit(0.0)).otherwise((F.lit(1.0) - a / p) * 100).alias("inefficiency_pct"), F.posexplode(F.slice(F.array_sort(F.array(*parts)), 1, n)).alias("k", "d"))
+    out = rows.select("Outlet_ID", F.greatest(p, a).alias("predicted_potential"), F.when(a > p, F.lit(0.0)).otherwise((F.lit(1.0) - a / p) * 100).alias("inefficiency_pct"), F.posexplode(F.slice(F.sort_array(F.array(*parts)), 1, n)).alias("k", "d"))
     return out.select("Outlet_ID", "predicted_potential", "inefficiency_pct", (F.col("inefficiency_pct") <= PEAK).alias("at_peak"), (F.col("k") + 1).alias("rank"), "d.feature_name", "d.contribution")
 
 

@@ -57,6 +57,18 @@ def test_a_province_leaves_few_lines_for_the_orders(spark):
     assert joins == ["l_orderkey", "l_suppkey"]
 
 
+def test_a_point_is_dealt_to_few_tiles(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(nearby, "once", lambda df: made.append(df) or df)
+    outlets = spark.range(900).select(F.concat(F.lit("O"), "id").alias("Outlet_ID"), ((F.col("id") % 30) * 1000.0).alias("x"), (F.floor(F.col("id") / 30) * 1000.0).alias("y"))
+    plan = nearby.competitor_counts(outlets)
+    inside = plan.count()
+    tiles = made[0].count()
+    assert inside == 900 and tiles == 9  # of 10 by 10 km, no more than twice the reach
+    spots = outlets.select("x", "y", F.lit("school").alias("POI_Type"))
+    assert nearby.poi_totals(outlets, spots).count() == 900 and made[1].count() == 25  # of 6 by 6 km
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_goods_taken_back_count_for_first_and_newest_months(spark, seed):
     rnd = random.Random(seed)
